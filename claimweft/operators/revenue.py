@@ -82,30 +82,39 @@ def month_client_status(claims: DataFrame, client_group: str = "pcode") -> DataF
     high = F.try_divide(F.sum("_fee_sum").over(group).cast("double"), F.sum("_fee_n").over(group))
     saved = F.col("total_savings").cast("double")
     return (
-        cells.withColumn("revenue_lower", low * F.lit(0.01) * saved)
-        .withColumn("revenue_upper", high * F.lit(0.01) * saved)
+        cells.withColumns({"min_fee": low, "weighted_fee": high})
+        .withColumn("revenue_lower", F.col("min_fee") * F.lit(0.01) * saved)
+        .withColumn("revenue_upper", F.col("weighted_fee") * F.lit(0.01) * saved)
         .drop("_min_fee", "_fee_sum", "_fee_n")
         .dropna(subset=[client_group, "processed_month", "client_cd", "payment_status"])
     )
 
 
-MEASURES = ("total_records", "total_charges", "total_savings", "revenue_lower", "revenue_upper")
+MEASURES = ("total_records", "total_charges", "total_savings")
 
 
 def status_pivot(
-    cells: DataFrame,
-    keys: Sequence[str],
-    statuses: Sequence[str] = ("PAID", "UNPAID"),
-    measures: Sequence[str] = MEASURES,
+    cells: DataFrame, keys: Sequence[str], statuses: Sequence[str] = ("PAID", "UNPAID")
 ) -> DataFrame:
-    """One column per measure and status, NULL where a month lacks the status; rates and total."""
-    wide = cells.groupBy(*keys).agg(
-        *[
-            F.sum(F.when(F.col("payment_status") == s, F.col(m))).alias(f"{m}_{s.lower()}")
-            for m in measures
+    """One column per measure and status, NULL where a month lacks the status; rates and total.
+
+    ``keys`` must include the client group, whose fees turn the exact savings sums into revenue.
+    """
+    sums = [
+        F.sum(F.when(F.col("payment_status") == s, F.col(m))).alias(f"{m}_{s.lower()}")
+        for m in MEASURES
+        for s in statuses
+    ]
+    wide = cells.groupBy(*keys).agg(*sums, F.max("min_fee").alias("_low"), F.max("weighted_fee").alias("_high"))
+    wide = wide.withColumns(
+        {
+            f"revenue_{bound}_{s.lower()}": F.col(fee)
+            * F.lit(0.01)
+            * F.col(f"total_savings_{s.lower()}").cast("double")
+            for bound, fee in (("lower", "_low"), ("upper", "_high"))
             for s in statuses
-        ]
-    )
+        }
+    ).drop("_low", "_high")
     paid, unpaid = F.col("total_records_paid"), F.col("total_records_unpaid")
     return (
         wide.withColumn("paid_rate", paid / (paid + unpaid))

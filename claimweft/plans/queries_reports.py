@@ -163,10 +163,7 @@ cells AS (
   SELECT pcode, processed_month, client_cd, payment_status, COUNT(*) AS total_records,
          SUM(total_charge_amt) AS total_charges, SUM(savings_amt) AS total_savings
   FROM c GROUP BY ALL),
-money AS (
-  SELECT cells.*, min_fee * 0.01 * CAST(total_savings AS DOUBLE) AS revenue_lower,
-         weighted_fee * 0.01 * CAST(total_savings AS DOUBLE) AS revenue_upper
-  FROM cells LEFT JOIN fees USING (pcode)),
+money AS (SELECT * FROM cells LEFT JOIN fees USING (pcode)),
 wide AS (
   SELECT pcode, processed_month,
     CAST(SUM(total_records) FILTER (WHERE payment_status = 'PAID') AS BIGINT) AS total_records_paid,
@@ -175,10 +172,10 @@ wide AS (
     CAST(SUM(total_charges) FILTER (WHERE payment_status = 'UNPAID') AS DOUBLE) AS total_charges_unpaid,
     CAST(SUM(total_savings) FILTER (WHERE payment_status = 'PAID') AS DOUBLE) AS total_savings_paid,
     CAST(SUM(total_savings) FILTER (WHERE payment_status = 'UNPAID') AS DOUBLE) AS total_savings_unpaid,
-    SUM(revenue_lower) FILTER (WHERE payment_status = 'PAID') AS revenue_lower_paid,
-    SUM(revenue_lower) FILTER (WHERE payment_status = 'UNPAID') AS revenue_lower_unpaid,
-    SUM(revenue_upper) FILTER (WHERE payment_status = 'PAID') AS revenue_upper_paid,
-    SUM(revenue_upper) FILTER (WHERE payment_status = 'UNPAID') AS revenue_upper_unpaid
+    MAX(min_fee) * 0.01 * CAST(SUM(total_savings) FILTER (WHERE payment_status = 'PAID') AS DOUBLE) AS revenue_lower_paid,
+    MAX(min_fee) * 0.01 * CAST(SUM(total_savings) FILTER (WHERE payment_status = 'UNPAID') AS DOUBLE) AS revenue_lower_unpaid,
+    MAX(weighted_fee) * 0.01 * CAST(SUM(total_savings) FILTER (WHERE payment_status = 'PAID') AS DOUBLE) AS revenue_upper_paid,
+    MAX(weighted_fee) * 0.01 * CAST(SUM(total_savings) FILTER (WHERE payment_status = 'UNPAID') AS DOUBLE) AS revenue_upper_unpaid
   FROM money GROUP BY ALL),
 rated AS (
   SELECT *, total_records_paid / (total_records_paid + total_records_unpaid) AS paid_rate,
@@ -186,9 +183,6 @@ rated AS (
          total_records_paid + total_records_unpaid AS all_claims_total
   FROM wide)"""
 
-_ROUNDED = ("revenue_lower_paid", "revenue_lower_unpaid", "revenue_upper_paid", "revenue_upper_unpaid")
-_ROUNDED_SQL = ", ".join(f"round({c}, 6) AS {c}" for c in _ROUNDED)
-
 
 def _summary_pivot(spark, folder):
     rows = _fee_claims(spark, folder, "claim_id", "processed_month", "total_charge_amt", "savings_amt")
@@ -196,10 +190,9 @@ def _summary_pivot(spark, folder):
     return revenue.status_pivot(cells, ["pcode", "processed_month"])
 
 
-@query("q_summary_pivot", f"WITH {_PIVOT_SQL} SELECT * REPLACE ({_ROUNDED_SQL}) FROM rated")
+@query("q_summary_pivot", f"WITH {_PIVOT_SQL} SELECT * FROM rated")
 def summary_pivot(spark, folder):
-    wide = _summary_pivot(spark, folder).transform(as_double)
-    return wide.withColumns({c: F.round(c, 6) for c in _ROUNDED})
+    return _summary_pivot(spark, folder).transform(as_double)
 
 
 @query("q_remaining_to_pay", f"""
