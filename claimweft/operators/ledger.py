@@ -37,7 +37,7 @@ def roll_up(
     combination need not exist in the source. With ``coherent_by`` they are all taken from the
     one row that is highest in those columns.
     """
-    taken = {key, document, posted, *amounts}
+    taken = {c.lower() for c in (key, document, posted, *amounts)}
     if attributes is None:
         attributes = [c for c in ledger.columns if c.lower() not in taken]
     is_payment = F.col(document) == PAYMENT_DOCUMENT
