@@ -30,8 +30,15 @@ def claim_measures() -> dict[str, Column]:
     }
 
 
-def with_share_of_all(counts: DataFrame, n: str, name: str = "share") -> DataFrame:
-    """Each count over the total; the total is a single broadcast row, not a global window."""
+def with_share_of_all(counts: DataFrame, n: str, name: str = "share", few_rows: bool = False) -> DataFrame:
+    """Each count over the total.
+
+    The total is a single broadcast row, so any number of rows will do; with plain counts the
+    shuffle they come from is reused. ``few_rows`` (a report by status) uses a window over the
+    report instead, which keeps a report with more measures at one scan.
+    """
+    if few_rows:
+        return counts.withColumn(name, F.col(n) / F.sum(n).over(Window.partitionBy(F.lit(0))))
     total = counts.agg(F.sum(n).alias("_total"))
     return (
         counts.crossJoin(F.broadcast(total))
@@ -67,16 +74,15 @@ def monthly_pay_rate(
         df.dropna(subset=[*keys, month])
         .filter(F.col(status).isin(*STATUSES))
         .groupBy(*keys, month)
-        .pivot(status, list(STATUSES))
-        .agg(F.count("claim_id"))
+        .agg(*[F.count(F.when(F.col(status) == s, F.col("claim_id"))).alias(s.lower()) for s in STATUSES])
     )
-    paid, unpaid = (F.coalesce(F.col(s), F.lit(0)) for s in STATUSES)
+    paid, unpaid = F.col("paid"), F.col("unpaid")
     total = paid + unpaid
     return counts.select(
         *keys,
         month,
-        paid.alias("paid"),
-        unpaid.alias("unpaid"),
+        "paid",
+        "unpaid",
         total.alias("claim_total"),
         (round_even(paid / total, 2) * 100).alias("paid_rate"),
         (round_even(unpaid / total, 2) * 100).alias("unpaid_rate"),

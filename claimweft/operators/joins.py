@@ -1,8 +1,12 @@
 """Joins between claims, keys and labels.
 
-No join here carries a broadcast hint: the optimizer broadcasts a side whose size it knows
-to be small, and otherwise adaptive execution splits skewed partitions. Sides that only
-contribute keys are reduced to distinct keys, or joined as semi/anti joins.
+No join of rows carries a broadcast hint: the optimizer broadcasts a side whose size it knows
+to be small, and otherwise adaptive execution splits skewed partitions.
+
+A side that only contributes keys is reduced to distinct keys (copies collapse before the
+shuffle) and staged. Reading the staged keys keeps the join a plain shuffled join of two
+scans, which adaptive execution can split where the other side has a hot key; directly on top
+of the aggregation it could not. Small key lists are broadcast from their known size.
 """
 
 from __future__ import annotations
@@ -13,6 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweft.operators.dedupe import first_per_key
+from claimweft.session import stage_table
+
+
+def distinct_keys(df: DataFrame, columns: Sequence[str], prefix: str = "_k_") -> DataFrame:
+    """Distinct known key tuples, staged, under prefixed names."""
+    keys = df.select(*[F.col(c).alias(f"{prefix}{c}") for c in columns]).dropna().distinct()
+    return stage_table(keys, "keys")
 
 
 def with_paid_lookup(
@@ -42,21 +53,21 @@ def eligible_only(claims: DataFrame, dim: DataFrame, on: Mapping[str, str]) -> D
 
     A semi join: no second copy of the key columns, and repeats in the dimension do not matter.
     """
-    renamed = dim.select(*[F.col(d).alias(f"_d_{d}") for d in on.values()])
-    cond = [F.col(c) == F.col(f"_d_{d}") for c, d in on.items()]
-    return claims.join(renamed, cond, "left_semi")
+    keys = distinct_keys(dim, list(on.values()))
+    cond = [F.col(c) == F.col(f"_k_{d}") for c, d in on.items()]
+    return claims.join(keys, cond, "left_semi")
 
 
 def present_in(df: DataFrame, other: DataFrame, col: str, other_col: str) -> DataFrame:
     """Rows whose value occurs in the other table."""
-    keys = other.select(F.col(other_col).alias("_k"))
-    return df.join(keys, F.col(col) == F.col("_k"), "left_semi")
+    keys = distinct_keys(other, [other_col])
+    return df.join(keys, F.col(col) == F.col(f"_k_{other_col}"), "left_semi")
 
 
 def absent_from(df: DataFrame, other: DataFrame, col: str, other_col: str) -> DataFrame:
     """Rows whose value does not occur in the other table; NULL values stay."""
-    keys = other.select(F.col(other_col).alias("_k"))
-    return df.join(keys, F.col(col) == F.col("_k"), "left_anti")
+    keys = distinct_keys(other, [other_col])
+    return df.join(keys, F.col(col) == F.col(f"_k_{other_col}"), "left_anti")
 
 
 def labels_to_rows(raw: DataFrame, labels: DataFrame, on: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimweft.operators.quantiles import exact_quantiles, stack_numeric
+from claimweft.session import stage_table
 
 QUARTILES = (0.25, 0.5, 0.75)
 TAIL = (0.95, 0.99, 0.999)
@@ -25,16 +26,10 @@ def missing_profile(df: DataFrame) -> DataFrame:
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    long = stack_numeric(df, columns)
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(long, ["column"], QUARTILES).drop("n")
-    return moments.join(quartiles, "column").select(
+    moments = {
+        "mean": F.avg("value"), "std": F.stddev_samp("value"), "min": F.min("value"), "max": F.max("value"),
+    }
+    return exact_quantiles(stack_numeric(df, columns), ["column"], QUARTILES, extra=moments).select(
         "column", "n", "mean", "std", "min",
         *[F.element_at("quantiles", i + 1).alias(q) for i, q in enumerate(("q25", "q50", "q75"))],
         "max",
@@ -77,8 +72,6 @@ def cardinality(df: DataFrame, columns: Sequence[str], approximate: bool = False
 
 def top_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
     """The k most frequent values of each column, NULL being a value."""
-    from pyspark.sql import Window
-
     counts = stack_text(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
     order = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value").asc_nulls_last())
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -140,9 +133,10 @@ def chi_square(
 
     With ``yates`` a 2x2 table gets the continuity correction. Counts per category carry one
     column per class, so row totals need no second grouping; class totals are a few rows.
+    The counts are staged: both uses read them instead of the source.
     """
     names = [f"_o{i}" for i in range(len(classes))]
-    rows = stack_counts(df, columns, label, classes, names)
+    rows = stage_table(stack_counts(df, columns, label, classes, names), "contingency")
     per_column = rows.groupBy("column").agg(
         F.count("*").alias("_rows"), F.sum("_row").alias("_all"), *[F.sum(n).alias(f"{n}_all") for n in names]
     )

@@ -8,7 +8,7 @@ read off the running counts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,18 +23,27 @@ def stack_numeric(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
 
 
 def exact_quantiles(
-    long: DataFrame, keys: Sequence[str], probs: Sequence[float], value: str = "value", accuracy: int = ACCURACY
+    long: DataFrame,
+    keys: Sequence[str],
+    probs: Sequence[float],
+    value: str = "value",
+    accuracy: int = ACCURACY,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per group with its count ``n`` and ``quantiles``, an array in the order of ``probs``.
 
     Linear interpolation between neighbours, as data-frame libraries do. The groups must be
-    few (columns, columns x classes): their brackets are broadcast.
+    few (columns, columns x classes): their brackets are broadcast. ``extra`` aggregates are
+    computed in the sketch pass, so a summary needs no scan of its own for them.
     """
+    extra = extra or {}
+    carried = ["_n", *extra]
     half = 4.0 / accuracy
     edges = [e for p in probs for e in (max(0.0, p - half), min(1.0, p + half))]
     sketch = long.groupBy(*keys).agg(
         F.percentile_approx(value, [float(e) for e in edges], accuracy).alias("_edges"),
         F.count(value).alias("_n"),
+        *[c.alias(name) for name, c in extra.items()],
     )
     v = F.col(value)
     lows = [F.element_at("_edges", 2 * i + 1) for i in range(len(probs))]
@@ -47,7 +56,7 @@ def exact_quantiles(
     cells = (
         long.join(F.broadcast(sketch), list(keys))
         .groupBy(
-            *keys, "_n",
+            *keys, *carried,
             F.when(inside, v).alias("_inside"),
             F.when(~inside, gap).alias("_gap"),
         )
@@ -57,24 +66,26 @@ def exact_quantiles(
     ordered = cells.withColumn("_cum", F.sum("_c").over(running))
 
     def order_statistic(index: Column) -> Column:
-        hit = F.min(F.when(F.col("_cum") > index, F.struct(F.col("_v"), F.col("_inside"))))
-        return F.when(hit["_inside"].isNotNull(), hit["_v"]).otherwise(
+        reached = F.col("_cum") > index
+        hit = F.min(F.when(reached, F.col("_v")))
+        bracketed = F.min(F.when(reached & F.col("_inside").isNotNull(), F.col("_v")))
+        return F.when(hit == bracketed, hit).otherwise(
             F.raise_error(F.lit("quantile rank outside its bracket; raise the accuracy"))
         )
 
-    n = F.max("_n")
     columns = []
     for i, p in enumerate(probs):
-        # the group count is constant per group, so per-row and per-group forms agree
-        position_row = (F.col("_n") - 1) * F.lit(float(p))
-        position = (n - 1) * F.lit(float(p))
-        low = order_statistic(F.floor(position_row))
-        high = order_statistic(F.ceil(position_row))
+        position = (F.col("_n") - 1) * F.lit(float(p))
+        low = order_statistic(F.floor(position))
+        high = order_statistic(F.ceil(position))
         columns.append((low + (high - low) * (position - F.floor(position))).alias(f"_q{i}"))
     return (
-        ordered.groupBy(*keys)
-        .agg(n.alias("n"), *columns)
-        .select(*keys, "n", F.array(*[f"_q{i}" for i in range(len(probs))]).alias("quantiles"))
+        ordered.groupBy(*keys, *carried)
+        .agg(*columns)
+        .select(
+            *keys, F.col("_n").alias("n"), *extra,
+            F.array(*[f"_q{i}" for i in range(len(probs))]).alias("quantiles"),
+        )
     )
 
 

@@ -55,17 +55,17 @@ def claims_ledger_join(spark, folder):
 
 @query("q_fee_eligible", f"""
 WITH {CLAIMS_SQL},
-dim AS (SELECT DISTINCT client_cd, network_cd FROM claims WHERE quantity >= 50 AND fee_amount >= 8)
+dim AS (SELECT DISTINCT c_mktsegment AS client_cd, 'Brand#' || CAST(c_nationkey + 1 AS VARCHAR) AS network_cd
+        FROM customer WHERE c_acctbal > 8000)
 SELECT c.client_cd, c.network_cd, COUNT(*) AS total_records, CAST(SUM(total_charge_amt) AS DOUBLE) AS total_charges,
        CAST(SUM(savings_amt) AS DOUBLE) AS total_savings
 FROM claims c JOIN dim d ON c.client_cd = d.client_cd AND c.network_cd = d.network_cd GROUP BY ALL
 """)
 def fee_eligible(spark, folder):
-    rows = claims(
-        spark, folder, "claim_id", "client_cd", "network_cd", "quantity", "fee_amount", "total_charge_amt", "savings_amt"
-    )
-    dim = rows.filter("quantity >= 50 and fee_amount >= 8").selectExpr(
-        "client_cd as ccode", "network_cd as productcode", "fee_amount as feetype"
+    rows = claims(spark, folder, "claim_id", "client_cd", "network_cd", "total_charge_amt", "savings_amt")
+    dim = table(spark, folder, "customer").filter("c_acctbal > 8000").selectExpr(
+        "c_mktsegment as ccode", "concat('Brand#', cast(c_nationkey + 1 as string)) as productcode",
+        "c_acctbal as feetype",
     )
     dim = joins.dedupe_dimension(dim, ["ccode", "productcode"], "feetype")
     kept = joins.eligible_only(rows, dim, {"client_cd": "ccode", "network_cd": "productcode"})
