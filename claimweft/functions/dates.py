@@ -7,22 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "M/d/yyyy",
-    "M-d-yyyy",
-    "M/d/yyyy H:mm",
-    "d-MMM-yyyy",
-    "yyyyMMdd",
+# shape of the text -> format to parse it with
+DATE_SHAPES = (
+    (r"^\d{4}-\d\d-\d\d$", "yyyy-MM-dd"),
+    (r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$", "yyyy-MM-dd HH:mm:ss"),
+    (r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$", "yyyy-MM-dd'T'HH:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{8}$", "yyyyMMdd"),
 )
 
 
-def lenient_date(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that parses wins; ``'0'``, blanks and junk give NULL."""
-    text = F.nullif(F.trim(col.cast("string")), F.lit("0"))
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in formats])
+def lenient_date(col: Column, shapes: Sequence[tuple[str, str]] = DATE_SHAPES) -> Column:
+    """Date of the first shape that fits and parses; ``'0'``, blanks and junk give NULL.
+
+    The shape test keeps the parser, whose failures are costly, off text it cannot read.
+    """
+    text = F.trim(col.cast("string"))
+    return F.coalesce(
+        *[F.when(text.rlike(shape), F.to_date(F.try_to_timestamp(text, F.lit(f)))) for shape, f in shapes]
+    )
 
 
 def month_of(col: Column) -> Column:

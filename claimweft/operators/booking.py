@@ -20,16 +20,16 @@ from claimweft.operators.filters import drop_resubmits
 def booking_cells(claims: DataFrame, keys: Sequence[str] = ("pcode",)) -> DataFrame:
     """Claims with savings, resubmits removed, counted per processed and entry month."""
     rows = claims.filter(F.col("savings_amt") > 0).transform(drop_resubmits)
-    return (
+    months = {
+        "processed_month": month_of(F.col("processed_dt")),
+        "entry_month": month_of(F.col("entry_dt")),
+    }
+    cells = (
         rows.dropna(subset=[*keys, "processed_dt"])
-        .groupBy(
-            *keys,
-            month_label(month_of(F.col("processed_dt"))).alias("processed_month"),
-            month_label(month_of(F.col("entry_dt"))).alias("entry_month"),
-            "payment_status",
-        )
+        .groupBy(*keys, *[m.alias(name) for name, m in months.items()], "payment_status")
         .agg(F.count("claim_id").alias("n"), zero_sum("savings_amt").alias("savings"))
     )
+    return cells.withColumns({name: month_label(F.col(name)) for name in months})
 
 
 def booking_long(claims: DataFrame, keys: Sequence[str] = ("pcode",)) -> DataFrame:

@@ -63,7 +63,9 @@ def claims_with_ledger(
 ) -> DataFrame:
     """Claims that have accounting rows, with the claim age at the as-of date.
 
-    The ledger arrives with one row per claim, already partitioned by the join key.
+    The ledger arrives with one row per claim, already partitioned by the join key. Claims are
+    expected once each; where a claim number can repeat without bound, pass a staged roll-up,
+    so that the join can split a hot number.
     """
     keyed = claims.withColumn("claim_key", F.col(claim_key).cast("string"))
     age = F.datediff(F.to_date(F.lit(as_of)), F.to_date(received))

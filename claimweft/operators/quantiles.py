@@ -13,7 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 20000
+# A bracket holds about 8 rows per ACCURACY rows of its group.
+ACCURACY = 200_000
 
 
 def stack_numeric(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

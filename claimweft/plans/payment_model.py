@@ -13,6 +13,7 @@ from claimweft.operators.encoding import encode_columns
 from claimweft.operators.filters import model_population
 from claimweft.operators.ledger import LEDGER_AMOUNTS, claims_with_ledger, ledger_rows, roll_up
 from claimweft.operators.sampling import balanced_sample, stratified_folds, stratified_split
+from claimweft.session import stage_table
 
 TARGET = "paid_flag"
 CLASSES = (0, 1)
@@ -37,12 +38,23 @@ def extract(
 ) -> DataFrame:
     """Claims of the window with their rolled-up ledger, at most ``sample_size`` per class.
 
-    ``fee_type`` and ``bill_method`` are (column, value) pairs of the ledger.
+    ``fee_type`` and ``bill_method`` are (column, value) pairs of the ledger. The sample is
+    drawn from (claim, paid flag) alone; both wide sides are then reduced to the sampled claims
+    before they are rolled up and joined.
     """
     population = model_population(claims, start, end)
-    rolled = roll_up(ledger_rows(ledger, ledger_key, *fee_type, *bill_method), ledger_key, amounts)
-    table = claims_with_ledger(population, claim_key, rolled, "receiveddate", as_of)
-    return balanced_sample(table, TARGET, CLASSES, ["claim_key"], sample_size)
+    entries = ledger_rows(ledger, ledger_key, *fee_type, *bill_method)
+    flags = stage_table(roll_up(entries, ledger_key, (), attributes=()).select("claim_key", TARGET), "paid-flags")
+    keys = population.select(F.col(claim_key).cast("string").alias("claim_key"))
+    narrow = stage_table(keys.join(flags, "claim_key"), "claim-flags")
+    sampled = balanced_sample(narrow, TARGET, CLASSES, ["claim_key"], sample_size)
+    sampled = stage_table(sampled.select(F.col("claim_key").alias("_sampled")), "sampled-claims")
+    rolled = stage_table(roll_up(_among(entries, ledger_key, sampled), ledger_key, amounts), "rolled-ledger")
+    return claims_with_ledger(_among(population, claim_key, sampled), claim_key, rolled, "receiveddate", as_of)
+
+
+def _among(rows: DataFrame, key: str, sampled: DataFrame) -> DataFrame:
+    return rows.join(sampled, F.col(key).cast("string") == F.col("_sampled"), "left_semi")
 
 
 def features(df: DataFrame) -> DataFrame:

@@ -63,7 +63,7 @@ SELECT o_orderkey, CAST(t.fold AS INTEGER) AS fold, COALESCE({_ENC.format(m='m',
 FROM folded t JOIN g ON t.fold = g.fold LEFT JOIN v ON v.fold = t.fold AND v.provider IS NOT DISTINCT FROM t.provider
 """)
 def kfold_target_encode(spark, folder):
-    rows = _training(spark, folder).select("o_orderkey", "provider", "paid_flag")
+    rows = stage_table(_training(spark, folder).select("o_orderkey", "provider", "paid_flag"), "paid-orders")
     folded = sampling.stratified_folds(rows, "paid_flag", [0, 1], ["o_orderkey"], 5, order_hash())
     out = encoding.out_of_fold_encode(folded, "provider", "paid_flag")
     return out.select("o_orderkey", "fold", F.round("provider_te", 9).alias("provider_te"))

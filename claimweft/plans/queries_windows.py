@@ -11,6 +11,7 @@ from claimweft.operators.ledger import roll_up
 from claimweft.operators.profiling import top_values
 from claimweft.plans.adapters import CLAIMS_SQL, as_double, claims, iso_dates, ledger, table
 from claimweft.plans.registry import query
+from claimweft.session import stage_table
 
 HASH_SQL = "((o_orderkey % 2147483648) * 2654435761) % 4294967296"
 PAID_ORDERS_SQL = f"""paid_orders AS (
@@ -94,7 +95,7 @@ SELECT o_orderkey, paid_flag FROM paid_orders
 QUALIFY row_number() OVER (PARTITION BY paid_flag ORDER BY h, o_orderkey) <= 2000
 """)
 def balanced_sample(spark, folder):
-    rows = paid_orders(spark, folder).select("o_orderkey", "paid_flag")
+    rows = stage_table(paid_orders(spark, folder).select("o_orderkey", "paid_flag"), "paid-orders")
     return sampling.balanced_sample(rows, "paid_flag", [0, 1], ["o_orderkey"], 2000, order_hash()).select(
         "o_orderkey", "paid_flag"
     )

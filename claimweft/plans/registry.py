@@ -28,6 +28,7 @@ def load_all() -> None:
         queries_encoding,
         queries_joins,
         queries_links,
+        queries_models,
         queries_profile,
         queries_reports,
         queries_scalars,

@@ -69,6 +69,12 @@ def test_tree_leaves_and_importances(spark, sf_dir):
     assert auc == pytest.approx(ml.evaluate(labelled), abs=1e-9)
 
 
+def test_one_hot_refuses_wide_columns(spark):
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("name"), F.lit(1).alias("target"))
+    with pytest.raises(ValueError, match="name"):
+        training.fit_tree(rows, [], ["name"])
+
+
 def test_factor_table(spark):
     raw = spark.createDataFrame(
         [(1, "Y", "C1", "S", "N1", None, "02139-1", "MA", 5.0, 10.0, "PAID", "EN"),
