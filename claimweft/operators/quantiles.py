@@ -13,7 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A bracket holds about 8 rows per ACCURACY rows of its group.
+# Groups up to this size are counted by value; in larger ones a bracket holds about 8 rows per
+# ACCURACY rows.
 ACCURACY = 200_000
 
 
@@ -49,7 +50,8 @@ def exact_quantiles(
     v = F.col(value)
     lows = [F.element_at("_edges", 2 * i + 1) for i in range(len(probs))]
     highs = [F.element_at("_edges", 2 * i + 2) for i in range(len(probs))]
-    inside = F.lit(False)
+    # a bracket spans several ranks only in larger groups; small ones are counted as a whole
+    inside = F.col("_n") <= accuracy
     gap: Column = F.lit(0)
     for low, high in zip(lows, highs):
         inside = inside | v.between(low, high)
