@@ -71,8 +71,7 @@ def monthly_pay_rate(
 ) -> DataFrame:
     """Paid and unpaid claims per month with whole-percent rates."""
     counts = (
-        df.dropna(subset=[*keys, month])
-        .filter(F.col(status).isin(*STATUSES))
+        df.dropna(subset=[*keys, month, status])
         .groupBy(*keys, month)
         .agg(*[F.count(F.when(F.col(status) == s, F.col("claim_id"))).alias(s.lower()) for s in STATUSES])
     )
@@ -84,8 +83,8 @@ def monthly_pay_rate(
         "paid",
         "unpaid",
         total.alias("claim_total"),
-        (round_even(paid / total, 2) * 100).alias("paid_rate"),
-        (round_even(unpaid / total, 2) * 100).alias("unpaid_rate"),
+        (round_even(F.try_divide(paid, total), 2) * 100).alias("paid_rate"),
+        (round_even(F.try_divide(unpaid, total), 2) * 100).alias("unpaid_rate"),
     )
 
 
@@ -101,8 +100,7 @@ def pay_rate_by_category(
     same task, so one shuffle carries counts, not rows.
     """
     long = (
-        df.dropna(subset=[month])
-        .filter(F.col(status).isin(*STATUSES))
+        df.dropna(subset=[month, status])
         .select(month, status, *[F.col(c).cast("string").alias(c) for c in categories])
         .unpivot([month, status], list(categories), "category", "value")
         .dropna(subset=["value"])
@@ -110,10 +108,9 @@ def pay_rate_by_category(
     counts = long.groupBy(month, "category", "value").agg(
         F.count_if(F.col(status) == "PAID").alias("paid"),
         F.count_if(F.col(status) == "UNPAID").alias("unpaid"),
+        F.count("*").alias("total_count"),
     )
-    return counts.withColumn("total_count", F.col("paid") + F.col("unpaid")).withColumn(
-        "paid_rate", F.col("paid") / F.col("total_count")
-    )
+    return counts.withColumn("paid_rate", F.col("paid") / F.col("total_count"))
 
 
 def class_by_category(df: DataFrame, categories: Sequence[str], label: str) -> DataFrame:

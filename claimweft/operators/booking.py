@@ -17,7 +17,9 @@ from claimweft.operators.aggregates import zero_sum
 from claimweft.operators.filters import drop_resubmits
 
 
-def booking_cells(claims: DataFrame, keys: Sequence[str] = ("pcode",)) -> DataFrame:
+def booking_cells(
+    claims: DataFrame, keys: Sequence[str] = ("pcode",), by: Sequence[str] = ("payment_status",)
+) -> DataFrame:
     """Claims with savings, resubmits removed, counted per processed and entry month."""
     rows = claims.filter(F.col("savings_amt") > 0).transform(drop_resubmits)
     months = {
@@ -26,7 +28,7 @@ def booking_cells(claims: DataFrame, keys: Sequence[str] = ("pcode",)) -> DataFr
     }
     cells = (
         rows.dropna(subset=[*keys, "processed_dt"])
-        .groupBy(*keys, *[m.alias(name) for name, m in months.items()], "payment_status")
+        .groupBy(*keys, *[m.alias(name) for name, m in months.items()], *by)
         .agg(F.count("claim_id").alias("n"), zero_sum("savings_amt").alias("savings"))
     )
     return cells.withColumns({name: month_label(F.col(name)) for name in months})
@@ -37,11 +39,7 @@ def booking_long(claims: DataFrame, keys: Sequence[str] = ("pcode",)) -> DataFra
 
     The denominator counts never-paid claims too. One row per pair of months that occurs.
     """
-    cells = (
-        booking_cells(claims, keys)
-        .groupBy(*keys, "processed_month", "entry_month")
-        .agg(F.sum("n").alias("n_claims"))
-    )
+    cells = booking_cells(claims, keys, by=()).drop("savings").withColumnRenamed("n", "n_claims")
     month = Window.partitionBy(*keys, "processed_month")
     return (
         cells.withColumn("n_month", F.sum("n_claims").over(month))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimweft.functions.stats import chi_square_p_value
 from claimweft.operators.quantiles import exact_quantiles, stack_numeric
 from claimweft.session import stage_table
 
@@ -129,7 +130,7 @@ def box_numbers(df: DataFrame, columns: Sequence[str], label: str, classes: Sequ
 def chi_square(
     df: DataFrame, columns: Sequence[str], label: str, classes: Sequence, yates: bool = True
 ) -> DataFrame:
-    """Independence of each column and the class: statistic and degrees of freedom.
+    """Independence of each column and the class: statistic, degrees of freedom, p-value.
 
     With ``yates`` a 2x2 table gets the continuity correction. Counts per category carry one
     column per class, so row totals need no second grouping; class totals are a few rows.
@@ -150,11 +151,12 @@ def chi_square(
         if yates:
             distance = F.when(small, distance - F.least(F.lit(0.5), distance)).otherwise(distance)
         terms = terms + F.when(expected > 0, distance * distance / expected).otherwise(F.lit(0.0))
-    return cells.groupBy("column").agg(
+    tests = cells.groupBy("column").agg(
         F.sum(terms).alias("chi2"),
         ((F.max("_rows") - 1) * (F.max(used) - 1)).cast("long").alias("dof"),
         F.max("_all").alias("n"),
     )
+    return tests.withColumn("p_value", chi_square_p_value(F.col("chi2"), F.col("dof")))
 
 
 def stack_counts(df, columns, label, classes, names) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimweft.functions.text import normalise_key
-from claimweft.operators.aggregates import zero_sum
+from claimweft.operators.aggregates import with_share_of_group, zero_sum
 
 FEE_KEYS = ("client_cd", "network_cd")
 
@@ -62,19 +62,21 @@ def with_revenue_estimates(claims: DataFrame) -> DataFrame:
     )
 
 
-def month_client_status(claims: DataFrame, client_group: str = "pcode") -> DataFrame:
-    """Counts, charges, savings and revenue estimates per (month, client, status).
+def revenue_cells(
+    claims: DataFrame, keys: Sequence[str], client_group: str = "pcode", fee_keys: Sequence[str] = FEE_KEYS
+) -> DataFrame:
+    """Counts, charges, savings and revenue estimates per client group and ``keys``.
 
-    Fee bounds are per ``client_group``. NULL months, clients or statuses drop out of the
-    report, but their paid fees still count for the bounds.
+    Fee bounds are per ``client_group``. Rows with a NULL key drop out of the report, but
+    their paid fees still count for the bounds.
     """
     fee = _paid_fee()
-    cells = claims.groupBy(client_group, "processed_month", "client_cd", "payment_status").agg(
+    cells = claims.groupBy(client_group, *keys).agg(
         F.count("claim_id").alias("total_records"),
         zero_sum("total_charge_amt").alias("total_charges"),
         zero_sum("savings_amt").alias("total_savings"),
         F.min(fee).alias("_min_fee"),
-        F.sum(F.when(_known(FEE_KEYS), fee)).alias("_fee_sum"),
+        F.sum(F.when(_known(fee_keys), fee)).alias("_fee_sum"),
         F.count(fee).alias("_fee_n"),
     )
     group = Window.partitionBy(client_group)
@@ -86,10 +88,20 @@ def month_client_status(claims: DataFrame, client_group: str = "pcode") -> DataF
         .withColumn("revenue_lower", F.col("min_fee") * F.lit(0.01) * saved)
         .withColumn("revenue_upper", F.col("weighted_fee") * F.lit(0.01) * saved)
         .drop("_min_fee", "_fee_sum", "_fee_n")
-        .dropna(subset=[client_group, "processed_month", "client_cd", "payment_status"])
+        .dropna(subset=[client_group, *keys])
     )
 
 
+def month_client_status(claims: DataFrame, client_group: str = "pcode") -> DataFrame:
+    return revenue_cells(claims, ["processed_month", "client_cd", "payment_status"], client_group)
+
+
+def status_summary(claims: DataFrame, client_group: str = "pcode", fee_keys: Sequence[str] = ("network_cd",)) -> DataFrame:
+    """Totals and revenue per status, with the status' share of the client group's claims."""
+    cells = revenue_cells(claims, ["payment_status"], client_group, fee_keys)
+    return with_share_of_group(cells, "total_records", [client_group], "percentage")
+
+
 MEASURES = ("total_records", "total_charges", "total_savings")
 
 

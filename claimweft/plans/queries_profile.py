@@ -117,13 +117,19 @@ t AS (SELECT "column", SUM(r) AS n, COUNT(*) AS nr FROM r GROUP BY ALL),
 k AS (SELECT "column", COUNT(*) AS nc FROM c GROUP BY ALL),
 e AS (SELECT "column", COALESCE(o, 0) AS o, CAST(r AS DOUBLE) * c / n AS e, n, nr, nc
       FROM r JOIN c USING ("column") JOIN t USING ("column") JOIN k USING ("column")
-      LEFT JOIN o USING ("column", value, l_linestatus))
-SELECT "column", round(SUM(CASE WHEN nr = 2 AND nc = 2 THEN pow(abs(o - e) - least(0.5, abs(o - e)), 2) ELSE pow(o - e, 2) END / e), 6) AS chi2,
+      LEFT JOIN o USING ("column", value, l_linestatus)),
+s AS (
+SELECT "column", SUM(CASE WHEN nr = 2 AND nc = 2 THEN pow(abs(o - e) - least(0.5, abs(o - e)), 2) ELSE pow(o - e, 2) END / e) AS x,
        CAST((MAX(nr) - 1) * (MAX(nc) - 1) AS BIGINT) AS dof, CAST(MAX(n) AS BIGINT) AS n
-FROM e GROUP BY "column" """)
+FROM e GROUP BY "column")
+SELECT "column", round(x, 6) AS chi2, dof, n, round(CASE
+    WHEN dof = 1 THEN 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 80),
+      lambda i: pow(-1, i) * pow(sqrt(x / 2), 2 * i + 1) / (gamma(i + 1) * (2 * i + 1))))
+    ELSE exp(-x / 2) * list_sum(list_transform(range(0, dof // 2), lambda i: pow(x / 2, i) / gamma(i + 1))) END, 8) AS p_value
+FROM s""")
 def chi_square(spark, folder):
     rows = table(spark, folder, "lineitem").selectExpr(
         "l_linestatus", "l_returnflag", "l_linenumber", "case when l_tax > 0.04 then 'Y' else 'N' end as high_tax"
     )
     out = profiling.chi_square(rows, list(_CHI), "l_linestatus", ["F", "O"])
-    return out.withColumn("chi2", F.round("chi2", 6))
+    return out.withColumns({"chi2": F.round("chi2", 6), "p_value": F.round("p_value", 8)})

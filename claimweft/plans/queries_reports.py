@@ -140,6 +140,24 @@ def fee_bounds(spark, folder):
     return revenue.fee_bounds(_fee_claims(spark, folder), ["pcode"])
 
 
+@query("q_status_revenue", f"""
+WITH {CLAIMS_SQL},
+c AS (SELECT * REPLACE (nullif(network_cd, 'Brand#3') AS network_cd) FROM claims),
+fees AS (SELECT pcode, CAST(MIN(fee_amount) AS DOUBLE) AS min_fee,
+                CAST(SUM(fee_amount) FILTER (WHERE network_cd IS NOT NULL) AS DOUBLE) / COUNT(*) AS weighted_fee
+         FROM c WHERE payment_status = 'PAID' AND fee_amount > 0 GROUP BY pcode),
+s AS (SELECT pcode, payment_status, COUNT(*) AS total_records, CAST(SUM(total_charge_amt) AS DOUBLE) AS total_charges,
+             CAST(SUM(savings_amt) AS DOUBLE) AS total_savings FROM c GROUP BY ALL),
+n AS (SELECT pcode, SUM(total_records) AS n FROM s GROUP BY pcode)
+SELECT s.*, min_fee, weighted_fee, min_fee * 0.01 * total_savings AS revenue_lower,
+       weighted_fee * 0.01 * total_savings AS revenue_upper, total_records / n AS percentage
+FROM s JOIN n USING (pcode) LEFT JOIN fees USING (pcode)
+""")
+def status_revenue(spark, folder):
+    rows = _fee_claims(spark, folder, "claim_id", "total_charge_amt", "savings_amt")
+    return revenue.status_summary(rows).transform(as_double)
+
+
 @query("q_revenue_estimate", f"""
 WITH {CLAIMS_SQL},
 b AS (SELECT CAST(MIN(fee_amount) AS DOUBLE) AS low, CAST(SUM(fee_amount) AS DOUBLE) / COUNT(*) AS high

@@ -45,6 +45,11 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local_scratch
 
 
+def staged_root(spark: SparkSession) -> str:
+    """Folder of this application's staged tables; it can go once the application has ended."""
+    return f"{scratch_dir(spark)}/staged/{spark.sparkContext.applicationId}"
+
+
 def stage_table(df: DataFrame, label: str) -> DataFrame:
     """Write a small derived table to the shared folder and read it back.
 
@@ -54,6 +59,6 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     shuffled before adaptive execution found out that it did not need to be.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    path = f"{staged_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -292,6 +292,25 @@ def test_chi_square_with_and_without_correction(spark):
     ix = StringIndexer(inputCol="sex", outputCol="ix").fit(df).transform(df)
     ml = ChiSquareTest.test(VectorAssembler(inputCols=["ix"], outputCol="f").transform(ix), "f", "y").first()
     assert ml.statistics[0] == pytest.approx(plain.chi2)
+    assert ml.pValues[0] == pytest.approx(plain.p_value, abs=1e-12)
+
+
+def test_chi_square_p_values(spark):
+    from claimweft.functions.stats import chi_square_p_value
+
+    cases = [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (7.814727903251179, 3, 0.05), (18.307038053275146, 10, 0.05),
+             (1000.0, 1, 0.0), (5000.0, 3, 0.0), (0.0, 2, 1.0), (124.34211340400407, 100, 0.05), (90.0, 100, 0.7531)]
+    df = spark.createDataFrame([(x, k) for x, k, _ in cases], "x double, k long")
+    got = [r.p for r in df.select(chi_square_p_value(F.col("x"), F.col("k")).alias("p")).collect()]
+    assert got == pytest.approx([p for _, _, p in cases], abs=2e-4)
+    assert got[:4] == pytest.approx([0.05] * 4, abs=1e-12)
+
+
+def test_side_by_side(spark):
+    from claimweft.operators.union import side_by_side
+
+    a, b = spark.createDataFrame([(1, "x")], "id int, a string"), spark.createDataFrame([(1, "y")], "id int, b string")
+    assert rows(side_by_side([a, b], "id")) == [(1, "x", "y")]
 
 
 # --- encoding --------------------------------------------------------------------------------------
