@@ -112,8 +112,8 @@ def anti_join(spark, folder):
 
 
 @query("q_join_quality", """
-WITH l AS (SELECT o_custkey AS k, COUNT(*) AS l FROM orders WHERE o_orderstatus = 'P' GROUP BY ALL),
-r AS (SELECT l_suppkey AS k, COUNT(*) AS r FROM lineitem WHERE l_quantity = 7 GROUP BY ALL),
+WITH l AS (SELECT o_orderkey AS k, COUNT(*) AS l FROM orders GROUP BY ALL),
+r AS (SELECT l_orderkey AS k, COUNT(*) AS r FROM lineitem GROUP BY ALL),
 b AS (SELECT COALESCE(l, 0) AS l, COALESCE(r, 0) AS r FROM l FULL JOIN r USING (k)),
 g AS (SELECT CASE WHEN r = 0 THEN 'left_only' WHEN l = 0 THEN 'right_only' WHEN l = 1 AND r = 1 THEN '1:1'
              WHEN l = 1 THEN '1:n' WHEN r = 1 THEN 'n:1' ELSE 'n:m' END AS relationship, COUNT(*) AS n_keys,
@@ -122,9 +122,22 @@ g AS (SELECT CASE WHEN r = 0 THEN 'left_only' WHEN l = 0 THEN 'right_only' WHEN
 SELECT *, n_keys / (SELECT SUM(n_keys) FROM g) AS key_share FROM g
 """)
 def join_quality(spark, folder):
-    left = table(spark, folder, "orders").filter("o_orderstatus = 'P'")
-    right = table(spark, folder, "lineitem").filter("l_quantity = 7")
-    return joins.join_quality(left, right, "o_custkey", "l_suppkey")
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    return joins.join_quality(orders, lines, "o_orderkey", "l_orderkey")
+
+
+@query("q_join_quality_many", """
+WITH l AS (SELECT user_id AS k, COUNT(*) AS l FROM events GROUP BY ALL),
+r AS (SELECT o_custkey AS k, COUNT(*) AS r FROM orders GROUP BY ALL),
+b AS (SELECT COALESCE(l, 0) AS l, COALESCE(r, 0) AS r FROM l FULL JOIN r USING (k)),
+g AS (SELECT CASE WHEN r = 0 THEN 'left_only' WHEN l = 0 THEN 'right_only' WHEN l = 1 AND r = 1 THEN '1:1'
+             WHEN l = 1 THEN '1:n' WHEN r = 1 THEN 'n:1' ELSE 'n:m' END AS relationship, COUNT(*) AS n_keys,
+             CAST(SUM(l) AS BIGINT) AS left_rows, CAST(SUM(r) AS BIGINT) AS right_rows, CAST(SUM(l * r) AS BIGINT) AS joined_rows
+      FROM b GROUP BY ALL)
+SELECT *, n_keys / (SELECT SUM(n_keys) FROM g) AS key_share FROM g
+""")
+def join_quality_many(spark, folder):
+    return joins.join_quality(table(spark, folder, "events"), table(spark, folder, "orders"), "user_id", "o_custkey")
 
 
 @query("q_posting_lag", """

@@ -240,7 +240,7 @@ dim AS (
   SELECT n_name AS parent_client, MIN(s_acctbal) / 100000 AS min_rate,
          CAST(SUM(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) / 100000 AS avg_rate
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  WHERE n_nationkey % 5 <> 0 GROUP BY n_name),
+  WHERE n_regionkey <> 2 GROUP BY n_name),
 cells AS (
   SELECT pcode, processed_month, payment_status, COUNT(*) AS total_records,
          CAST(SUM(total_charge_amt) AS DOUBLE) AS total_charges, CAST(SUM(savings_amt) AS DOUBLE) AS total_savings
@@ -253,7 +253,7 @@ def revenue_by_rate_dim(spark, folder):
         spark, folder, "claim_id", "pcode", "processed_month", "payment_status", "total_charge_amt", "savings_amt"
     )
     supplier = table(spark, folder, "supplier")
-    nation = table(spark, folder, "nation").filter("n_nationkey % 5 <> 0")
+    nation = table(spark, folder, "nation").filter("n_regionkey <> 2")
     balance = F.sum(F.col("s_acctbal").cast("decimal(18,2)")).cast("double")
     rates = (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
@@ -290,7 +290,7 @@ def ledger_rollup(spark, folder):
 @query("q_pepm_monthly", """
 WITH census AS (SELECT c_custkey AS group_id, c_mktsegment AS pcode, c_name AS client_nm,
                        c_nationkey AS census, '2024-01-01' AS census_eff_dt
-                FROM customer WHERE c_custkey % 3 <> 0)
+                FROM customer WHERE c_acctbal > 2000)
 SELECT pcode, client_nm, strftime(date_trunc('month', ts), '%Y-%m-%d') AS date, event_type AS acctid,
        substr(event_type, 1, 1) AS ccode, census, group_id, census_eff_dt, COUNT(*) AS total_claims
 FROM events JOIN census ON user_id = group_id GROUP BY ALL
@@ -300,7 +300,7 @@ def pepm_monthly(spark, folder):
         "user_id as group_id", "event_type as acctid", "substr(event_type, 1, 1) as ccode",
         "year(ts) as year", "month(ts) as month", "1L as claim_ct",
     )
-    census = table(spark, folder, "customer").filter("c_custkey % 3 <> 0").selectExpr(
+    census = table(spark, folder, "customer").filter("c_acctbal > 2000").selectExpr(
         "c_custkey as group_id", "c_mktsegment as pcode", "c_name as client_nm",
         "c_nationkey as census", "'2024-01-01' as census_eff_dt",
     )

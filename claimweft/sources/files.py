@@ -47,7 +47,7 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def read_per_client(spark: SparkSession, path_glob: str, schema: T.StructType, folder_level: int = 2, sep: str = ",") -> DataFrame:
+def read_per_client(spark: SparkSession, path_glob: str, schema: T.StructType, folder_level: int = 3, sep: str = ",") -> DataFrame:
     """Per-client report files stacked, each row tagged with the client folder of its file.
 
     ``folder_level`` counts path parts from the end: 1 is the file, 2 its folder, 3 the one above.

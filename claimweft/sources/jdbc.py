@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows per fetch, and the date format pushed-down predicates rely on.
 FETCH_SIZE = 10000
 SESSION_INIT = "ALTER SESSION SET NLS_DATE_FORMAT = 'YYYY-MM-DD'"
 

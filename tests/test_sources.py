@@ -51,7 +51,7 @@ def test_parts_and_per_client_tag(spark, folder):
         with open(f"{folder}/{client}/summary/out.csv", "w") as f:
             f.write("month,n\n2024-01,1\n")
     schema = T.StructType().add("month", "string").add("n", "integer")
-    got = files.read_per_client(spark, f"{folder}/*/summary/*.csv", schema, folder_level=3)
+    got = files.read_per_client(spark, f"{folder}/*/summary/*.csv", schema)
     assert sorted((r.pcode, r.n) for r in got.collect()) == [("ABC-P", 1), ("DEF P", 1)]
     parts = [f"{folder}/{c}/summary/out.csv" for c in ("ABC-P", "DEF P")]
     assert files.read_parts(spark, parts, schema).count() == 2
@@ -142,6 +142,22 @@ def test_predicates_are_an_argument_of_the_reader():
     assert kwargs["predicates"] == predicates and "url" not in kwargs["properties"]
 
 
+def test_pull_reads_the_database_once(spark, folder, monkeypatch):
+    from claimweft.plans import database_pull
+
+    calls = []
+
+    def fake_load(session, query, options, is_query, predicates):
+        calls.append(query)
+        return session.createDataFrame([("a|b", i) for i in range(5)], "PROVIDERGROUPNAME string, n int")
+
+    monkeypatch.setattr(database_pull, "load", fake_load)
+    stored = database_pull.pull(spark, "SELECT 1", {}, f"{folder}/pull", sample_rows=2)
+    assert calls == ["SELECT 1"] and stored.count() == 5
+    assert {r.PROVIDERGROUPNAME for r in stored.collect()} == {"ab"}
+    assert spark.read.option("header", True).option("sep", "|").csv(f"{folder}/pull_sample").count() == 2
+
+
 def test_named_parameters_are_not_spliced(spark):
     df = spark.createDataFrame([("a'; --",), ("b",)], "v string")
     got = jdbc.run_extract(spark, "SELECT v FROM {t} WHERE v = :v", {"v": "a'; --"}, t=df)
