@@ -30,7 +30,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     moments = {
         "mean": F.avg("value"), "std": F.stddev_samp("value"), "min": F.min("value"), "max": F.max("value"),
     }
-    return exact_quantiles(stack_numeric(df, columns), ["column"], QUARTILES, extra=moments).select(
+    return exact_quantiles(df, columns, QUARTILES, extra=moments).select(
         "column", "n", "mean", "std", "min",
         *[F.element_at("quantiles", i + 1).alias(q) for i, q in enumerate(("q25", "q50", "q75"))],
         "max",
@@ -53,7 +53,7 @@ def categorical_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def tail_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = TAIL) -> DataFrame:
     """(column, prob, value) rows of the upper quantiles."""
-    q = exact_quantiles(stack_numeric(df, columns), ["column"], probs)
+    q = exact_quantiles(df, columns, probs)
     pairs = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"), F.col("quantiles").alias("value"))
     return q.select("column", F.explode(pairs).alias("_p")).select(
         "column", F.col("_p.prob").alias("prob"), F.col("_p.value").alias("value")
@@ -107,9 +107,8 @@ def correlation_with(df: DataFrame, columns: Sequence[str], target: str) -> Data
 
 def box_numbers(df: DataFrame, columns: Sequence[str], label: str, classes: Sequence) -> DataFrame:
     """Per class and column: quartiles and the outermost values within 1.5 box lengths."""
-    rows = df.filter(F.col(label).isin(*classes))
-    long = stack_numeric(rows, columns, [label])
-    q = exact_quantiles(long, [label, "column"], QUARTILES).select(
+    long = stack_numeric(df.filter(F.col(label).isin(*classes)), columns, [label])
+    q = exact_quantiles(df, columns, QUARTILES, label, classes).select(
         label, "column", "n",
         *[F.element_at("quantiles", i + 1).alias(name) for i, name in enumerate(("q25", "q50", "q75"))],
     )

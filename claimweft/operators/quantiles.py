@@ -25,21 +25,26 @@ def stack_numeric(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
 
 
 def exact_quantiles(
-    long: DataFrame,
-    keys: Sequence[str],
+    df: DataFrame,
+    columns: Sequence[str],
     probs: Sequence[float],
-    value: str = "value",
-    accuracy: int = ACCURACY,
+    label: str | None = None,
+    classes: Sequence = (),
     extra: Mapping[str, Column] | None = None,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """One row per group with its count ``n`` and ``quantiles``, an array in the order of ``probs``.
+    """One row per column (and class) with its count ``n`` and ``quantiles`` in the order of ``probs``.
 
-    Linear interpolation between neighbours, as data-frame libraries do. The groups must be
-    few (columns, columns x classes): their brackets are broadcast. ``extra`` aggregates are
-    computed in the sketch pass, so a summary needs no scan of its own for them.
+    Linear interpolation between neighbours, as data-frame libraries do. With a ``label``,
+    quantiles are per listed class. Columns and classes are named up front, which bounds the
+    brackets that are broadcast. ``extra`` aggregates (over ``value``) are computed in the sketch
+    pass, so a summary needs no scan of its own for them.
     """
     extra = extra or {}
-    carried = ["_n", *extra]
+    value, carried = "value", ["_n", *extra]
+    keys = ["column"] if label is None else [label, "column"]
+    rows = df if label is None else df.filter(F.col(label).isin(*classes))
+    long = stack_numeric(rows, columns, keys[:-1])
     half = 4.0 / accuracy
     edges = [e for p in probs for e in (max(0.0, p - half), min(1.0, p + half))]
     sketch = long.groupBy(*keys).agg(
@@ -76,15 +81,15 @@ def exact_quantiles(
             F.raise_error(F.lit("quantile rank outside its bracket; raise the accuracy"))
         )
 
-    columns = []
+    results = []
     for i, p in enumerate(probs):
         position = (F.col("_n") - 1) * F.lit(float(p))
         low = order_statistic(F.floor(position))
         high = order_statistic(F.ceil(position))
-        columns.append((low + (high - low) * (position - F.floor(position))).alias(f"_q{i}"))
+        results.append((low + (high - low) * (position - F.floor(position))).alias(f"_q{i}"))
     return (
         ordered.groupBy(*keys, *carried)
-        .agg(*columns)
+        .agg(*results)
         .select(
             *keys, F.col("_n").alias("n"), *extra,
             F.array(*[f"_q{i}" for i in range(len(probs))]).alias("quantiles"),
@@ -94,5 +99,5 @@ def exact_quantiles(
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, median) rows."""
-    q = exact_quantiles(stack_numeric(df, columns), ["column"], [0.5])
+    q = exact_quantiles(df, columns, [0.5])
     return q.select("column", F.element_at("quantiles", 1).alias("median"))

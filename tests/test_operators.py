@@ -266,7 +266,7 @@ def test_quantiles_are_exact(spark, kind):
     }[kind]
     df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(8)
     probs = (0.0, 0.25, 0.5, 0.75, 0.95, 0.999, 1.0)
-    out = quantiles.exact_quantiles(quantiles.stack_numeric(df, ["x"]), ["column"], probs, accuracy=200).first()
+    out = quantiles.exact_quantiles(df, ["x"], probs, accuracy=200).first()
     assert out.n == len(values)
     assert out.quantiles == pytest.approx(np.percentile(values, [p * 100 for p in probs]).tolist(), rel=1e-12)
 
@@ -402,6 +402,8 @@ def test_auc_and_best_f1(spark, bins):
 
     ml = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="y", numBins=0).evaluate(df)
     assert auc == pytest.approx(ml, abs=1e-9)
+    holes = df.unionByName(spark.createDataFrame([(float("nan"), 1), (None, 1), (0.5, None)], "score double, y int"))
+    assert metrics.roc_auc(holes, "score", "y", bins).first().auc == auc
     best = metrics.best_f1_threshold(df, "score", "y", bins).first()
     curve = {}
     for t in {s for s, _ in data}:
