@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 # Groups up to this size are counted by value; in larger ones a bracket holds about 8 rows per
 # ACCURACY rows.
-ACCURACY = 200_000
+ACCURACY = 50_000
 
 
 def stack_numeric(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
