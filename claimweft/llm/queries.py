@@ -31,3 +31,61 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimweft.llm.importance import resample
 
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query
+def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweft.llm.sharding import histogram_sort, text_size
+
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", text_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    return histogram_sort(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+ORACLE["op8_segment_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op8_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweft.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+#: (verdict, host, path), fixed values.
+URL_RULES = (
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+)
+
+
+@query
+def op9_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweft.llm.urlfilter import judge
+
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op10_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweft.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
