@@ -89,3 +89,38 @@ def op10_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimweft.llm.mixing import mix
 
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+@query
+def op2_typed_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweft.llm.chatformat import format_turns, read_back, text_parts
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    messages = rows.unionByName(more).withColumn("parts", text_parts("text"))
+    return read_back(format_turns(messages))
+
+
+@query
+def op3_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from claimweft.llm.tokencount import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweft.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "keeper")
+
+
+@query
+def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweft.llm.secretscan import scan, train
+
+    docs = table(spark, sf_dir, "documents")
+    return scan(docs, train(docs))
