@@ -124,3 +124,10 @@ def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return scan(docs, train(docs))
+
+
+@query
+def op4_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweft.llm.leaks import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
