@@ -131,3 +131,15 @@ def op4_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimweft.llm.leaks import find_leaks
 
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def load_pipeline() -> None:
+    """The pipeline module stands at the repository's top and imports the operators."""
+    import corpus_pipeline
+
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+load_pipeline()
