@@ -62,6 +62,23 @@ def paid_flag(col: Column) -> Column:
     return F.coalesce((F.upper(col) == "PAID").cast("int"), F.lit(0))
 
 
+def has_code(col: Column, *codes) -> Column:
+    """Whether a code column holds one of the codes, NULL for NULL.
+
+    Whole-number codes match however the column spells them (``2004``, ``'2004'``, ``'2004.0'``);
+    text that is no number matches none of them. Text codes are compared as text.
+    """
+    numbers = [c for c in codes if isinstance(c, int)]
+    texts = [c for c in codes if not isinstance(c, int)]
+    hit = F.lit(False)
+    if numbers:
+        number = strip_space(col.cast("string")).try_cast("double")
+        hit = hit | F.coalesce(number.isin(*[float(c) for c in numbers]), F.lit(False))
+    if texts:
+        hit = hit | col.cast("string").isin(*texts)
+    return F.when(col.isNotNull(), hit)
+
+
 def differs_or_null(col: Column, value) -> Column:
     """``!=`` that keeps NULL rows, as data-frame libraries do and SQL does not."""
     return ~F.equal_null(col, F.lit(value))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweft.functions.dates import lenient_date, under_age
-from claimweft.functions.text import differs_or_null, null_or_not_like
+from claimweft.functions.text import differs_or_null, has_code, null_or_not_like
 
 # Adjustment states that stay in the population, and the void claim state.
 KEPT_ADJUSTMENTS = (0, 2004)
@@ -32,8 +32,8 @@ def claim_population(
         (F.col("savings_amt") > 0)
         & (F.col("patient_age_65_ind") == "No")
         & differs_or_null(F.col("patient_last_nm"), "TEST")
-        & differs_or_null(F.col("claimstatus"), void_state)
-        & F.col("adjustmentstatus").isin(*adjustments)
+        & ~F.coalesce(has_code(F.col("claimstatus"), void_state), F.lit(False))
+        & has_code(F.col("adjustmentstatus"), *adjustments)
     )
     if transaction_types:
         col = F.col("transactiontype")
@@ -49,12 +49,12 @@ def model_population(df: DataFrame, start: str, end: str, adjustments: Sequence
         (F.col("receiveddate") >= F.to_date(F.lit(start)))
         & (F.col("receiveddate") < F.to_date(F.lit(end)))
         & (F.coalesce(F.col("savings"), F.lit(0)) > 0)
-        & (F.col("claimstatus") == OPEN_STATE)
+        & has_code(F.col("claimstatus"), OPEN_STATE)
         & null_or_not_like(F.col("status_code").cast("string"), "800%", "900%")
         & null_or_not_like(F.col("patientfirstname"), "%TEST%", ignore_case=True)
         & null_or_not_like(F.col("patientlastname"), "%TEST%", ignore_case=True)
         & F.col("mpi_claim_id").isNotNull()
-        & F.col("adjustmentstatus").isin(*adjustments)
+        & has_code(F.col("adjustmentstatus"), *adjustments)
         & under_age(F.col("receiveddate"), F.col("patientdateofbirth"))
     )
 

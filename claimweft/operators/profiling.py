@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimweft.functions.stats import chi_square_p_value
+from claimweft.functions.stats import chi_square_log_p
 from claimweft.operators.quantiles import exact_quantiles, stack_numeric
 from claimweft.session import stage_table
 
@@ -15,9 +15,15 @@ QUARTILES = (0.25, 0.5, 0.75)
 TAIL = (0.95, 0.99, 0.999)
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN is a missing value in every profile."""
+    floats = [c for c, kind in df.dtypes if kind in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+
+
 def missing_profile(df: DataFrame) -> DataFrame:
-    """Columns that have NULLs and how many, most first; one pass over the table."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    """Columns that have NULLs or NaNs and how many, most first; one pass over the table."""
+    counts = nan_to_null(df).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     return (
         counts.unpivot([], df.columns, "column", "n_missing")
         .filter(F.col("n_missing") > 0)
@@ -79,8 +85,8 @@ def top_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_a, column_b, corr) for every ordered pair; rows with a NULL side are skipped per pair."""
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    """(column_a, column_b, corr) for every ordered pair; rows with a missing side are skipped per pair."""
+    numeric = nan_to_null(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
     upper = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     wide = numeric.agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(upper)])
     place = {pair: f"_{i}" for i, pair in enumerate(upper)}
@@ -100,7 +106,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def correlation_with(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """(column, corr) against the target, highest first."""
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in [*columns, target]])
+    numeric = nan_to_null(df.select(*[F.col(c).cast("double").alias(c) for c in [*columns, target]]))
     wide = numeric.agg(*[F.corr(c, target).alias(c) for c in columns])
     return wide.unpivot([], list(columns), "column", "corr").orderBy(F.col("corr").desc_nulls_last())
 
@@ -155,7 +161,8 @@ def chi_square(
         ((F.max("_rows") - 1) * (F.max(used) - 1)).cast("long").alias("dof"),
         F.max("_all").alias("n"),
     )
-    return tests.withColumn("p_value", chi_square_p_value(F.col("chi2"), F.col("dof")))
+    log_p = chi_square_log_p(F.col("chi2"), F.col("dof"))
+    return tests.withColumn("log_p", log_p).withColumn("p_value", F.exp("log_p"))
 
 
 def stack_counts(df, columns, label, classes, names) -> DataFrame:

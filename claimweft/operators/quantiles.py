@@ -2,8 +2,10 @@
 
 ``percentile`` keeps every distinct value of a group in one task's memory. Here a bounded
 sketch first brackets each wanted rank; the rows inside the brackets are then counted by
-value, everything outside collapses to one count per gap, and the exact order statistics are
-read off the running counts.
+value, everything outside collapses to one cell per gap with its count, minimum and maximum, and
+the exact order statistics are read off the running counts. Counts run in two steps, over
+at most ``BINS`` equal ranges of each bracket and inside a range, so a column is never ordered in one
+task. Groups of every size take the same way.
 """
 
 from __future__ import annotations
@@ -13,9 +15,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups up to this size are counted by value; in larger ones a bracket holds about 8 rows per
-# ACCURACY rows.
+# A bracket holds about 8 rows per ACCURACY rows of its group.
 ACCURACY = 50_000
+# Ranges of a bracket.
+BINS = 1024
 
 
 def stack_numeric(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -46,7 +49,8 @@ def exact_quantiles(
     rows = df if label is None else df.filter(F.col(label).isin(*classes))
     long = stack_numeric(rows, columns, keys[:-1])
     half = 4.0 / accuracy
-    edges = [e for p in probs for e in (max(0.0, p - half), min(1.0, p + half))]
+    order = sorted(range(len(probs)), key=lambda i: probs[i])
+    edges = [e for i in order for e in (max(0.0, probs[i] - half), min(1.0, probs[i] + half))]
     sketch = long.groupBy(*keys).agg(
         F.percentile_approx(value, [float(e) for e in edges], accuracy).alias("_edges"),
         F.count(value).alias("_n"),
@@ -55,31 +59,37 @@ def exact_quantiles(
     v = F.col(value)
     lows = [F.element_at("_edges", 2 * i + 1) for i in range(len(probs))]
     highs = [F.element_at("_edges", 2 * i + 2) for i in range(len(probs))]
-    # a bracket spans several ranks only in larger groups; small ones are counted as a whole
-    inside = F.col("_n") <= accuracy
+    inside = F.lit(False)
     gap: Column = F.lit(0)
     for low, high in zip(lows, highs):
         inside = inside | v.between(low, high)
         gap = gap + (v > high).cast("int")
+    # the gap with number g lies before the bracket with number g
+    low, high = F.element_at("_edges", 2 * gap + 1), F.element_at("_edges", 2 * gap + 2)
+    part = F.when(high > low, F.least(F.floor((v - low) / (high - low) * BINS), F.lit(BINS - 1)))
     cells = (
         long.join(F.broadcast(sketch), list(keys))
         .groupBy(
-            *keys, *carried,
+            *keys, *carried, gap.alias("_gap"),
+            F.when(inside, F.coalesce(part, F.lit(0))).otherwise(F.lit(-1)).cast("int").alias("_bin"),
             F.when(inside, v).alias("_inside"),
-            F.when(~inside, gap).alias("_gap"),
         )
-        .agg(F.count("*").alias("_c"), F.min(v).alias("_v"))
+        .agg(F.count("*").alias("_c"), F.min(v).alias("_v"), F.max(v).alias("_top"))
     )
-    running = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = cells.withColumn("_cum", F.sum("_c").over(running))
+    before = Window.partitionBy(*keys).orderBy("_gap", "_bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.groupBy(*keys, "_gap", "_bin").agg(F.sum("_c").alias("_c")).select(
+        *keys, "_gap", "_bin", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_offset")
+    )
+    running = Window.partitionBy(*keys, "_gap", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = cells.join(offsets, [*keys, "_gap", "_bin"]).withColumn("_cum", F.col("_offset") + F.sum("_c").over(running))
 
     def order_statistic(index: Column) -> Column:
-        reached = F.col("_cum") > index
-        hit = F.min(F.when(reached, F.col("_v")))
-        bracketed = F.min(F.when(reached & F.col("_inside").isNotNull(), F.col("_v")))
-        return F.when(hit == bracketed, hit).otherwise(
-            F.raise_error(F.lit("quantile rank outside its bracket; raise the accuracy"))
-        )
+        first = F.col("_cum") - F.col("_c")
+        here = (first <= index) & (index < F.col("_cum"))
+        # a rank just outside its bracket is an end of the gap
+        known = F.when(index == first, F.col("_v")).when(index == F.col("_cum") - 1, F.col("_top"))
+        lost = F.raise_error(F.lit("quantile rank outside its bracket; raise the accuracy"))
+        return F.min(F.when(here, F.when(F.col("_inside").isNotNull(), F.col("_v")).otherwise(F.coalesce(known, lost))))
 
     results = []
     for i, p in enumerate(probs):

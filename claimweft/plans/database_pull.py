@@ -17,14 +17,19 @@ def pull(
     query: str,
     options: Mapping[str, str],
     out: str,
-    predicates: Sequence[str] | None = None,
+    predicates: Sequence[str],
     clean: Sequence[str] = ("PROVIDERGROUPNAME",),
     sample_rows: int | None = None,
 ) -> DataFrame:
     """Write the query result to ``out`` and return it as read back from there.
 
+    Each predicate is one task's read (see ``jdbc.month_predicates``); they must cover every row
+    once. Without them a single task would pull everything, so there have to be some.
+
     The sample comes from the written files, so the database is read once.
     """
+    if not predicates:
+        raise ValueError("give predicates that divide the rows")
     rows = load(spark, query, options, is_query=True, predicates=predicates)
     rows = rows.withColumns({c: strip_delimiter(F.col(c)) for c in clean if c in rows.columns})
     write_parquet(rows, out)

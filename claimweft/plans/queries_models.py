@@ -7,7 +7,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from claimweft.functions.codes import CATEGORICAL, NUMERIC
-from claimweft.models.factors import factor_table
+from claimweft.models.factors import factor_table, factors_long
 from claimweft.models.scoring import score_batch
 from claimweft.models.training import feature_importances, feature_stages, fit_tree, label_leaves
 from claimweft.plans.adapters import CLAIMS_SQL, claims, table
@@ -40,6 +40,27 @@ def factors(spark, folder):
     return factor_table(rows, categories=["client_cd", "adjustmentstatus"], values=values)
 
 
+@query("q_factors_long", """
+WITH r AS (SELECT o_orderkey::VARCHAR AS claim_id, o_orderpriority AS client_cd, o_custkey::VARCHAR AS network,
+                  left(lpad((o_orderkey % 100000)::VARCHAR, 5, '0'), 3) AS zip3, o_totalprice AS charge, o_totalprice * 0.25 AS savings,
+                  (o_orderstatus = 'F')::INT AS target FROM orders)
+SELECT claim_id, 'client_cd_' || client_cd AS factor, 1.0::DOUBLE AS value FROM r UNION ALL
+SELECT claim_id, 'last_closure_network_cd_' || network, 1.0 FROM r UNION ALL
+SELECT claim_id, 'zip3_' || zip3, 1.0 FROM r UNION ALL
+SELECT claim_id, 'savings_amt', savings FROM r WHERE savings <> 0 UNION ALL
+SELECT claim_id, 'total_charge_amt', charge FROM r WHERE charge <> 0 UNION ALL
+SELECT claim_id, 'savings_rate', 0.25 FROM r WHERE charge <> 0 UNION ALL
+SELECT claim_id, 'target', 1.0 FROM r WHERE target = 1
+""")
+def factors_sparse(spark, folder):
+    rows = table(spark, folder, "orders").selectExpr(
+        "o_orderkey as claim_id", "o_orderpriority as client_cd", "o_custkey as last_closure_network_cd",
+        "lpad(cast(o_orderkey % 100000 as string), 5, '0') as zip5", "o_totalprice as total_charge_amt",
+        "o_totalprice * 0.25 as savings_amt", "case when o_orderstatus = 'F' then 'PAID' end as payment_status",
+    )
+    return factors_long(rows, categories=["client_cd", "last_closure_network_cd", "zip3"])
+
+
 def _tree_rows(spark, folder):
     """Factor rows, staged: fitting goes over them several times."""
     rows = claims(

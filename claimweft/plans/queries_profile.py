@@ -122,11 +122,12 @@ s AS (
 SELECT "column", SUM(CASE WHEN nr = 2 AND nc = 2 THEN pow(abs(o - e) - least(0.5, abs(o - e)), 2) ELSE pow(o - e, 2) END / e) AS x,
        CAST((MAX(nr) - 1) * (MAX(nc) - 1) AS BIGINT) AS dof, CAST(MAX(n) AS BIGINT) AS n
 FROM e GROUP BY "column")
-SELECT "column", round(x, 6) AS chi2, dof, n, round(CASE
+SELECT "column", chi2, dof, n, round(p, 8) AS p_value, round(ln(p), 6) AS log_p FROM (
+SELECT "column", round(x, 6) AS chi2, dof, n, CASE
     WHEN dof = 1 THEN 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 80),
       lambda i: pow(-1, i) * pow(sqrt(x / 2), 2 * i + 1) / (gamma(i + 1) * (2 * i + 1))))
-    ELSE exp(-x / 2) * list_sum(list_transform(range(0, dof // 2), lambda i: pow(x / 2, i) / gamma(i + 1))) END, 8) AS p_value
-FROM s""")
+    ELSE exp(-x / 2) * list_sum(list_transform(range(0, dof // 2), lambda i: pow(x / 2, i) / gamma(i + 1))) END AS p
+FROM s)""")
 def chi_square(spark, folder):
     rows = table(spark, folder, "lineitem").selectExpr(
         "l_linestatus", "l_returnflag", "l_linenumber", "case when l_tax > 0.04 then 'Y' else 'N' end as high_tax"

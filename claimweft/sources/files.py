@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,14 +19,53 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def _name(text: str) -> str:
+    return text.lstrip("\ufeff").strip().strip('"').lower()
+
+
+def _bound(schema: T.StructType, header: Sequence[str], files: Sequence[str], rest_in_order: bool) -> T.StructType:
+    """The schema in the order of a file's header; columns that nobody asked for are text."""
+    fields = {f.name.lower(): f for f in schema.fields}
+    missing = [f for f in schema.fields if f.name.lower() not in header]
+    spare = [i for i, name in enumerate(header) if name not in fields]
+    if missing and not (rest_in_order and len(missing) <= len(spare)):
+        raise ValueError(f"no column {[f.name for f in missing]} in {list(files)[:3]}")
+    given = dict(zip(spare, missing, strict=False))
+    out = [fields.get(name) or given.get(i) or T.StructField(f"_unused_{i}", T.StringType()) for i, name in enumerate(header)]
+    return T.StructType(out)
+
+
+def read_csv_by_name(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, sep: str = ",", rest_in_order: bool = False
+) -> DataFrame:
+    """CSV files with header, columns bound by the names in each file's own header.
+
+    Files may order their columns differently and hold further ones; a file that lacks a column of
+    the schema is an error. With ``rest_in_order`` the schema's names that a header lacks go to
+    the header's other columns in their order. The headers are read first, one line a file, and
+    files with the same header are one scan.
+    """
+    listed = [unquote(f) for f in spark.read.text(paths).inputFiles()]
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(listed):
+        line = spark.read.text(file).first()
+        if line is not None:
+            by_header.setdefault(tuple(_name(n) for n in line.value.split(sep)), []).append(file)
+    parts = [
+        spark.read.schema(_bound(schema, header, files, rest_in_order)).option("sep", sep).option("header", True).csv(files).select(*schema.names)
+        for header, files in by_header.items()
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+
+
 def read_pipe_csv(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, only_na: bool = False
 ) -> DataFrame:
-    """Pipe-separated files with header, plain or bzip2 (which Spark splits).
+    """Pipe-separated files with header, plain or bzip2 (which Spark splits); columns by name.
 
     ``only_na`` treats just the token NA as missing; otherwise every usual token is.
     """
-    df = spark.read.schema(schema).option("sep", "|").option("header", True).csv(paths)
+    df = read_csv_by_name(spark, paths, schema, "|")
     text = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     if only_na:
         # the reader gives NULL for an empty field, which is text of its own here
@@ -33,14 +75,17 @@ def read_pipe_csv(
 
 
 def read_dimension(spark: SparkSession, path: str, schema: T.StructType, key: str, blank: str = "(blank)") -> DataFrame:
-    """Small comma-separated dimension; the pivot-table row for blanks is left out."""
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    """Small comma-separated dimension; the pivot-table row for blanks is left out.
+
+    Columns named as in the header are bound by name, the schema's other names in order.
+    """
+    df = read_csv_by_name(spark, path, schema, rest_in_order=True)
     return df.filter(F.col(key).isNotNull() & (F.trim(key) != blank))
 
 
 def read_parts(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
     """Same-shaped CSV parts (one per former workbook sheet) as one table."""
-    return spark.read.schema(schema).option("header", True).csv(list(paths))
+    return read_csv_by_name(spark, list(paths), schema)
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -53,32 +98,31 @@ def read_per_client(spark: SparkSession, path_glob: str, schema: T.StructType, f
     ``folder_level`` counts path parts from the end: 1 is the file, 2 its folder, 3 the one above.
     """
     tail = r"/[^/]+" * (folder_level - 1)
-    rows = spark.read.schema(schema).option("header", True).option("sep", sep).csv(path_glob)
+    rows = read_csv_by_name(spark, path_glob, schema, sep)
     return rows.withColumn("pcode", F.url_decode(F.regexp_extract(F.input_file_name(), rf"/([^/]+){tail}$", 1)))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Overwrites the whole folder, or with ``partition_by`` only the partitions that ``df`` has."""
+    _overwriting(df, partition_by).parquet(path)
+
+
+def _overwriting(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
+    mode = "dynamic" if partition_by else "static"
+    return df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by)
 
 
 def write_model_table(df: DataFrame, root: str, start: str, end: str, pull_date: str) -> str:
     """Parquet under a window folder, the pull date as partition; returns the folder."""
     path = f"{root}/model_{start}_to_{end}"
-    (
-        df.withColumn("pull_date", F.lit(pull_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("pull_date")
-        .parquet(path)
-    )
+    _overwriting(df.withColumn("pull_date", F.lit(pull_date)), ["pull_date"]).parquet(path)
     return path
 
 
 def write_pipe_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Pipe-separated bzip2 files with header, NA for missing values."""
+    """Pipe-separated bzip2 files with header, NA for missing values; other partitions stay."""
     (
-        df.write.mode("overwrite")
-        .partitionBy(*partition_by)
+        _overwriting(df, partition_by)
         .option("header", True)
         .option("sep", "|")
         .option("nullValue", "NA")
@@ -105,18 +149,23 @@ def write_per_client(df: DataFrame, path: str, keys: Sequence[str] = ("pcode", "
     """One folder per client and pull date, whatever the client's size.
 
     Rows are not gathered per client first: a client holding a third of all rows is written by
-    many tasks, each adding its own file to the folder.
+    many tasks, each adding its own file to the folder. Folders of other clients and of earlier
+    pulls are left alone; those of the same client and pull are replaced.
     """
-    df.write.mode("overwrite").partitionBy(*keys).parquet(path)
+    _overwriting(df, keys).parquet(path)
 
 
 def file_manifest(rows: DataFrame, expected: DataFrame, client: str = "pcode") -> DataFrame:
-    """Rows and files per expected client; a client without rows shows zeros."""
-    counts = (
-        rows.withColumn("_file", F.input_file_name())
-        .groupBy(client, "_file")
-        .agg(F.count("*").alias("_n"))
-        .groupBy(client)
-        .agg(F.count("*").alias("n_files"), F.sum("_n").alias("n_rows"))
-    )
-    return counts.join(expected.select(client).distinct(), client, "right").fillna(0, ["n_files", "n_rows"])
+    """Files and rows per expected client; a client without files shows zeros.
+
+    Files are taken from the listing, so one without rows counts as a file: a client with a
+    file and no rows had an empty extract, one without a file is missing.
+    """
+    spark = rows.sparkSession
+    # the listing's addresses are encoded, and so are folder names with special characters
+    folders = [re.search(rf"/{client}=([^/]+)/", unquote(f)) for f in rows.inputFiles()]
+    listed = spark.createDataFrame([(unquote(m[1]),) for m in folders if m], f"`{client}` string")
+    files = listed.groupBy(client).agg(F.count("*").alias("n_files"))
+    counts = rows.groupBy(client).agg(F.count("*").alias("n_rows"))
+    wanted = expected.select(client).distinct()
+    return wanted.join(files, client, "left").join(counts, client, "left").fillna(0, ["n_files", "n_rows"])

@@ -58,13 +58,18 @@ def load(
 
 
 def month_predicates(column: str, months: Sequence[str]) -> list[str]:
-    """One half-open month window per predicate (``months`` as yyyy-MM)."""
+    """One half-open month window per predicate (``months`` as yyyy-MM), then one for all other rows.
+
+    The last predicate takes rows without a date and those outside the months, so that together
+    they cover every row once.
+    """
     out = []
-    for label in months:
+    for label in dict.fromkeys(months):
         year, month = (int(x) for x in label.split("-"))
         following = f"{year + month // 12}-{month % 12 + 1:02d}-01"
         out.append(f"{column} >= DATE '{label}-01' AND {column} < DATE '{following}'")
-    return out
+    inside = " OR ".join(f"({p})" for p in out) or "1 = 0"
+    return [*out, f"({column} IS NULL OR NOT ({inside}))"]
 
 
 def run_extract(spark: SparkSession, text: str, params: Mapping[str, object], **tables: DataFrame) -> DataFrame:

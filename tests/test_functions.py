@@ -105,3 +105,48 @@ def test_differs_keeps_null(spark):
 
 def test_nan_is_not_lost(spark):
     assert math.isnan(col_values(spark, [float("nan")], "double", amounts.clip_low)[0])
+
+
+def test_more_spellings_of_dates(spark):
+    raw = ["2024-01-05 00:00:00.000", "2024-01-05 10:11:12.5", "2024-01-05 10:11", "2024-01-05T10:11:12Z", "05-JAN-24", "1/5/2024 10:11:12",
+           "1/5/2024 3:04 PM", "2024/01/05", "Jan 5, 2024", "2024-01-05T10:11:12+02:00", "20240105"]
+    bad = ["2024-01-05 25:00", "2024-13-05", "1/5", "yesterday", "2024-01-05 10"]
+    df = spark.createDataFrame([(t,) for t in raw + bad + ["0", "", None]], "d string")
+    got = [r[0] for r in df.select(dates.lenient_date(F.col("d")).cast("string")).collect()]
+    assert got == ["2024-01-05"] * len(raw) + [None] * (len(bad) + 3)
+    assert [tuple(r) for r in dates.unparsed_dates(df, ["d"]).collect()] == [("d", len(bad))]
+
+
+def test_codes_that_are_not_whole(spark):
+    from claimweft.functions.codes import CODE_BOOKS, label_code
+
+    df = spark.createDataFrame([("1",), ("2.0",), ("2.5",), ("NaN",), ("x",), (None,), ("7",)], "v string")
+    got = [r[0] for r in df.select(label_code(F.col("v"), CODE_BOOKS["SEX"])).collect()]
+    assert got == ["Male", "Female", "2.5", None, "x", None, "7"]
+    got = [r[0] for r in df.select(label_code(F.col("v").try_cast("double"), CODE_BOOKS["SEX"])).collect()]
+    assert got == ["Male", "Female", "2.5", None, None, None, "7.0"]
+
+
+def test_status_codes_in_any_spelling(spark):
+    from claimweft.functions.text import has_code
+
+    df = spark.createDataFrame([("2004.0",), (" 2004 ",), ("2004",), ("A",), ("2005",), (None,), ("2004x",)], "v string")
+    assert [r[0] for r in df.select(has_code(F.col("v"), 0, 2004)).collect()] == [True, True, True, False, False, None, False]
+    assert [r[0] for r in df.select(has_code(F.col("v"), "A", "N")).collect()] == [False, False, False, True, False, None, False]
+    assert [r[0] for r in spark.range(2).select(has_code(F.col("id"), 1)).collect()] == [False, True]
+
+
+def test_chi_square_tail(spark):
+    from claimweft.functions.stats import chi_square_log_p
+
+    # ln p from erfc (1 degree), the exponential (2 degrees) and the Poisson sum (even degrees)
+    def poisson(x, k):
+        logs = [i * math.log(x / 2) - math.lgamma(i + 1) - x / 2 for i in range(k // 2)]
+        top = max(logs)
+        return top + math.log(sum(math.exp(v - top) for v in logs))
+
+    cases = [(100.0, 1, math.log(math.erfc(math.sqrt(50)))), (0.01, 1, math.log(math.erfc(math.sqrt(0.005)))), (900.0, 2, -450.0)]
+    cases += [(x, k, poisson(x, k)) for x, k in ((3.0, 4), (30.0, 10), (30000.0, 20000), (20100.0, 20000), (19900.0, 20000), (5000.0, 200))]
+    df = spark.createDataFrame([c[:2] for c in cases], "x double, k long")
+    got = [r[0] for r in df.select(chi_square_log_p(F.col("x"), F.col("k"))).collect()]
+    assert got == pytest.approx([c[2] for c in cases], rel=1e-7, abs=1e-9)

@@ -242,7 +242,8 @@ def test_copies_of_a_hot_key_stay_together(spark):
 def test_split_of_a_tiny_class_and_of_other_classes(spark):
     df = spark.createDataFrame([(1, "A"), (2, "A"), (3, "B"), (4, None), (5, "Z")], "id long, cls string")
     got = rows(sampling.stratified_split(df, "cls", ["A", "B"], ["id"], 0.2).select("id", "is_test"), "id")
-    assert got == [(1, 0), (2, 0), (3, 0)]
+    # rows of other classes stay, without a side
+    assert got == [(1, 0), (2, 0), (3, 0), (4, None), (5, None)]
 
 
 def test_balanced_sample_sizes(spark):
@@ -452,3 +453,32 @@ def test_next_iteration(spark):
     records = spark.createDataFrame([("p", 1), ("p", 3), ("q", None)], "project string, iteration int")
     projects = spark.createDataFrame([("p",), ("q",), ("r",)], "project string")
     assert rows(links.next_iteration(records, projects, "project", "iteration"), "project") == [("p", 4, 2), ("q", 1, 1), ("r", 1, 0)]
+
+
+def test_any_fold_number_has_an_encoding(spark):
+    from claimweft.operators.encoding import fold_encodings
+
+    df = spark.createDataFrame([("a", f, y) for f in (0, 5000, -3) for y in (0, 1, 1)], "v string, fold int, y int")
+    assert all(r.encoded is not None for r in fold_encodings(df, "v", "y").collect())
+
+
+def test_splits_keep_rows_without_a_class(spark):
+    from claimweft.operators import sampling
+
+    df = spark.createDataFrame([(i, [0, 1, None, 7][i % 4]) for i in range(80)], "id long, y int")
+    split = sampling.stratified_split(df, "y", [0, 1], ["id"])
+    folds = sampling.stratified_folds(df, "y", [0, 1], ["id"])
+    assert split.count() == folds.count() == 80
+    assert {r.y for r in split.filter("is_test is null").collect()} == {None, 7}
+    assert folds.filter("fold is null").count() == 40 and split.filter("is_test = 1").count() == 8
+    assert sampling.hash_sample(df, ["id"], 13).count() == 13
+
+
+def test_nan_is_missing_in_profiles(spark):
+    from claimweft.operators import profiling
+
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (nan, 1.0), (3.0, None), (4.0, 8.5)], "a double, b double")
+    assert {r.column: r.n_missing for r in profiling.missing_profile(df).collect()} == {"a": 1, "b": 1}
+    corr = {(r.column_a, r.column_b): r.corr for r in profiling.correlation_matrix(df, ["a", "b"]).collect()}
+    assert corr["a", "b"] > 0.99 and profiling.correlation_with(df, ["a"], "b").first().corr > 0.99

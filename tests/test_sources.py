@@ -66,6 +66,38 @@ def test_manifest_lists_missing_clients(spark, folder):
     assert got == {"A": 2, "B": 1, "C": 0}
 
 
+def test_second_pull_and_other_client_leave_folders_alone(spark, folder):
+    first = spark.createDataFrame([("A", "2025-01-09", 1), ("B", "2025-01-09", 2)], "pcode string, pull_date string, n int")
+    second = spark.createDataFrame([("A", "2025-02-09", 3)], "pcode string, pull_date string, n int")
+    again = spark.createDataFrame([("A", "2025-02-09", 4)], "pcode string, pull_date string, n int")
+    for df in (first, second, again):
+        files.write_per_client(df, f"{folder}/c")
+        files.write_parquet(df, f"{folder}/p", ["pcode", "pull_date"])
+        files.write_pipe_csv(df, f"{folder}/t", ["pcode", "pull_date"])
+    for got in (spark.read.parquet(f"{folder}/c"), spark.read.parquet(f"{folder}/p"), spark.read.option("sep", "|").option("header", True).csv(f"{folder}/t")):
+        assert sorted((r.pcode, int(r.n)) for r in got.collect()) == [("A", 1), ("A", 4), ("B", 2)]
+
+
+def test_columns_are_bound_by_name(spark, folder):
+    os.makedirs(f"{folder}/in")
+    for name, text in (("a", "x|y\n1|2\n"), ("b", "y|extra| X \n4|e|3\n"), ("empty", "")):
+        with open(f"{folder}/in/{name}.csv", "w") as f:
+            f.write(text)
+    got = files.read_pipe_csv(spark, f"{folder}/in", files.text_schema(["x", "y"]))
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "2"), ("3", "4")]
+    with pytest.raises(ValueError, match="z"):
+        files.read_pipe_csv(spark, f"{folder}/in/a.csv", files.text_schema(["x", "z"]))
+
+
+def test_manifest_tells_empty_from_missing(spark, folder):
+    df = spark.createDataFrame([("A", 1)], "pcode string, n int")
+    df.select("n").write.parquet(f"{folder}/t/pcode=A")
+    df.select("n").filter("n > 1").coalesce(1).write.parquet(f"{folder}/t/pcode=B")
+    expected = spark.createDataFrame([("A",), ("B",), ("C",)], "pcode string")
+    got = {r.pcode: (r.n_files, r.n_rows) for r in files.file_manifest(spark.read.parquet(f"{folder}/t"), expected).collect()}
+    assert got["A"][1] == 1 and got["B"] == (1, 0) and got["C"] == (0, 0)
+
+
 def test_model_table_keeps_other_pulls(spark, folder):
     df = spark.range(3)
     files.write_model_table(df, folder, "2025-01-01", "2026-01-01", "2026-03-06")
@@ -142,6 +174,14 @@ def test_predicates_are_an_argument_of_the_reader():
     assert kwargs["predicates"] == predicates and "url" not in kwargs["properties"]
 
 
+def test_predicates_cover_every_row_once(spark):
+    rows = [(None,), ("2023-12-31",), ("2024-11-30",), ("2024-12-31",), ("2025-01-01",)]
+    df = spark.createDataFrame(rows, "d string").withColumn("d", F.to_date("d"))
+    predicates = jdbc.month_predicates("d", ["2024-11", "2024-12"])
+    assert [df.filter(p).count() for p in predicates] == [1, 1, 3]
+    assert df.filter(jdbc.month_predicates("d", [])[0]).count() == 5
+
+
 def test_pull_reads_the_database_once(spark, folder, monkeypatch):
     from claimweft.plans import database_pull
 
@@ -152,7 +192,7 @@ def test_pull_reads_the_database_once(spark, folder, monkeypatch):
         return session.createDataFrame([("a|b", i) for i in range(5)], "PROVIDERGROUPNAME string, n int")
 
     monkeypatch.setattr(database_pull, "load", fake_load)
-    stored = database_pull.pull(spark, "SELECT 1", {}, f"{folder}/pull", sample_rows=2)
+    stored = database_pull.pull(spark, "SELECT 1", {}, f"{folder}/pull", ["1 = 1"], sample_rows=2)
     assert calls == ["SELECT 1"] and stored.count() == 5
     assert {r.PROVIDERGROUPNAME for r in stored.collect()} == {"ab"}
     assert spark.read.option("header", True).option("sep", "|").csv(f"{folder}/pull_sample").count() == 2
