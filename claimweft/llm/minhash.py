@@ -17,7 +17,7 @@ import numpy as np
 from claimweft.llm.grams import mix
 
 U = np.uint64
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 50, 8
 COMPONENTS = BANDS * ROWS
 _STEP, _OTHER = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
 _ARRIVALS = 8

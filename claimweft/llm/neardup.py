@@ -5,14 +5,12 @@ not ASCII make words; a text of fewer words is one run). Two documents are linke
 Jaccard similarity of their multisets, sum(min) / sum(max), is 0.8 or more; a class is what links
 connect. Texts with equal words are one node from the start, so copies are never paired.
 
-Candidates share two of the signature's 32 bands of 5 (two documents at 0.8 do with a probability
-above 0.9999). First, every document of a bucket meets the bucket's leader, which collapses a group of
+Candidates share one of the signature's 50 bands of 8 (two documents at 0.8 do with a probability of
+0.9999, while documents that have a third of their words in common do with 0.007). First, every document of a bucket meets the bucket's leader, which collapses a group of
 near copies with one pair a document. What is left are buckets whose documents are in different
 classes so far. There the documents outside the bucket's largest class become leaders in turn, more
-each time, until any two documents of the bucket have been compared or belong to one class; a
-bucket with many of them, as a passage that many documents share makes, is first divided by the
-other such buckets of its documents. Nothing ever lists all pairs of a bucket, and no bucket is
-gathered in one task.
+each time, until any two documents of the bucket have been compared or belong to one class.
+Nothing ever lists all pairs of a group of copies, and no bucket is gathered in one task.
 
 Null texts have no class but themselves. Texts without words are copies only of equal texts.
 Repeated rows are copies. A class is named by its smallest doc_id. An empty table gives an empty
@@ -36,8 +34,8 @@ from claimweft.llm.minhash import band_keys, signatures
 RUN = 5
 #: Similarity as a fraction, compared in whole numbers.
 SIMILAR = (4, 5)
-#: Documents outside a bucket's largest class that are leaders in one step; with more, it is divided.
-LARGE = 16
+#: Leaders of a bucket in the second step; twice as many in each further one.
+LEADERS = 16
 _CHARS = 1 << 20
 
 
@@ -139,20 +137,17 @@ def _with_parts(rows: DataFrame, parts: DataFrame | None, *names: str) -> DataFr
 class _Linker:
     """Compares pairs of nodes and keeps the links, the pairs that failed, and the parts."""
 
-    def __init__(self, texts: DataFrame, nodes: DataFrame) -> None:
-        self.texts, self.bands = texts, nodes.select("node", "bands")
+    def __init__(self, texts: DataFrame) -> None:
+        self.texts = texts
         self.failed: DataFrame | None = None
         self.parts: DataFrame | None = None
 
     def candidates(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of different parts that share two bands and have not failed."""
+        """Pairs of different parts that have not failed, written out."""
         pairs = _with_parts(pairs, self.parts, "a", "b").filter("a_part <> b_part").drop("a_part", "b_part")
         if self.failed is not None:
             pairs = pairs.join(self.failed, ["a", "b"], "left_anti")
-        x = self.bands.select(F.col("node").alias("a"), F.col("bands").alias("xs"))
-        y = self.bands.select(F.col("node").alias("b"), F.col("bands").alias("ys"))
-        close = pairs.join(x, "a").join(y, "b").filter(F.size(F.array_intersect("xs", "ys")) >= 2).drop("xs", "ys")
-        return stage_table(close, "candidates")
+        return stage_table(pairs, "candidates")
 
     def compare(self, pairs: DataFrame) -> None:
         """Verify staged candidates by their texts and join the parts of those that are linked."""
@@ -178,28 +173,15 @@ class _Linker:
 
 
 def _divided(members: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """(bucket, node, minor, minors): members of buckets with several parts.
+    """(bucket, node, minor): members of buckets with several parts.
 
-    ``minor`` says whether a node is outside its bucket's largest part, ``minors`` how many are.
+    ``minor`` says whether a node is outside its bucket's largest part.
     """
     rows = _with_parts(members, parts, "node")
     sizes = rows.groupBy("bucket", "node_part").agg(F.count("*").alias("n"))
     tops = sizes.groupBy("bucket").agg(F.max(F.struct("n", "node_part")).alias("top"), F.sum("n").alias("all"))
-    tops = tops.filter(F.col("all") > F.col("top.n")).select("bucket", F.col("top.node_part").alias("main"), (F.col("all") - F.col("top.n")).alias("minors"))
-    return rows.join(tops, "bucket").select("bucket", "node", (F.col("node_part") != F.col("main")).alias("minor"), "minors")
-
-
-def _refined(divided: DataFrame) -> DataFrame:
-    """(bucket, node): large divided buckets replaced by what every two of them have in common.
-
-    Two documents that share two bands share a bucket that stays, or two that are replaced.
-    """
-    large = F.col("minors") > LARGE
-    own = divided.filter(large).groupBy("node").agg(F.array_sort(F.collect_set("bucket")).alias("own"))  # one for each band at most
-    pairs = F.flatten(F.transform("own", lambda x: F.transform(F.filter("own", lambda y: y > x), lambda y: F.xxhash64(x, y))))
-    both = own.select(F.explode(pairs).alias("bucket"), "node")
-    shared = both.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    return divided.filter(~large).select("bucket", "node").unionByName(both.join(shared, "bucket", "left_semi"))
+    tops = tops.filter(F.col("all") > F.col("top.n")).select("bucket", F.col("top.node_part").alias("main"))
+    return rows.join(tops, "bucket").select("bucket", "node", (F.col("node_part") != F.col("main")).alias("minor"))
 
 
 def _link(members: DataFrame, linker: _Linker) -> None:
@@ -212,19 +194,18 @@ def _link(members: DataFrame, linker: _Linker) -> None:
     linker.compare(stage_table(pairs.withColumn("nth", F.row_number().over(best)).filter("nth = 1").select("a", "b"), "best"))
     linker.compare(linker.candidates(met))
     rest = members.join(leaders, "bucket").filter("a < node").select("bucket", "node")
-    divided = stage_table(_divided(rest, linker.parts), "divided")
-    members, count = stage_table(_refined(divided), "members"), LARGE
-    while not members.isEmpty():
-        divided = _divided(members, linker.parts)
+    count = LEADERS
+    while True:
+        divided = _divided(rest, linker.parts)
         order = Window.partitionBy("bucket").orderBy("node")
         minor = divided.filter("minor").withColumn("nth", F.row_number().over(order))
-        ranked = stage_table(minor.unionByName(divided.filter("not minor").withColumn("nth", F.lit(1 << 30))).drop("minor", "minors"), "ranked")
+        ranked = stage_table(minor.unionByName(divided.filter("not minor").withColumn("nth", F.lit(1 << 30))).drop("minor"), "ranked")
+        if ranked.isEmpty():
+            break
         leaders = ranked.filter(F.col("nth") <= count).select("bucket", F.col("node").alias("x"), F.col("nth").alias("before"))
         met = ranked.join(leaders, "bucket").filter("before < nth").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
         linker.compare(linker.candidates(met))
-        members, count = ranked.filter(F.col("nth") > count).select("bucket", "node"), 2 * count
-        if ranked.isEmpty():
-            break
+        rest, count = ranked.filter(F.col("nth") > count).select("bucket", "node"), 2 * count
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -246,7 +227,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "first.doc_id", "first.row_id")
     same = rows["row_id"].eqNullSafe(wanted["row_id"]) & rows["doc_id"].eqNullSafe(wanted["doc_id"])
     texts = stage_table(rows.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "texts")
-    linker = _Linker(texts, nodes)
+    linker = _Linker(texts)
     _link(members, linker)
     whole = nodes.select("print", "node", "first")
     whole = whole.withColumn("part", F.col("node")) if linker.parts is None else whole.join(linker.parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
