@@ -37,17 +37,17 @@ def target_encode(spark, folder):
 
 @query("q_target_encode_apply", f"""
 WITH {_TRAIN_SQL},
-fit AS (SELECT * FROM train WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 250000),
-g AS (SELECT SUM(paid_flag) / COUNT(*) AS m FROM fit),
-v AS (SELECT provider, SUM(paid_flag) AS s, COUNT(*) AS n FROM fit GROUP BY provider)
-SELECT o_orderkey, train.provider, COALESCE({_ENC.format(m='m', n='n', s='s')}, round(m, 9)) AS provider_te
-FROM train CROSS JOIN g LEFT JOIN v ON train.provider IS NOT DISTINCT FROM v.provider
+scored AS (SELECT o_orderkey, provider * 2 AS provider FROM train),
+g AS (SELECT SUM(paid_flag) / COUNT(*) AS m FROM train),
+v AS (SELECT provider, SUM(paid_flag) AS s, COUNT(*) AS n FROM train GROUP BY provider)
+SELECT o_orderkey, scored.provider, COALESCE({_ENC.format(m='m', n='n', s='s')}, round(m, 9)) AS provider_te
+FROM scored CROSS JOIN g LEFT JOIN v ON scored.provider IS NOT DISTINCT FROM v.provider
 """)
 def target_encode_apply(spark, folder):
     rows = _training(spark, folder)
-    fit = rows.filter("o_orderpriority = '1-URGENT' and o_totalprice > 250000")
-    maps = stage_table(encoding.fit_target_encoding(fit, "provider", "paid_flag"), "encodings")
-    out = encoding.apply_target_encoding(rows.select("o_orderkey", "provider"), maps, "provider")
+    maps = stage_table(encoding.fit_target_encoding(rows, "provider", "paid_flag"), "encodings")
+    scored = rows.selectExpr("o_orderkey", "provider * 2 as provider")  # many providers unseen at fit time
+    out = encoding.apply_target_encoding(scored, maps, "provider")
     return out.withColumn("provider_te", F.round("provider_te", 9))
 
 

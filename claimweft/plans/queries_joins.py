@@ -56,14 +56,14 @@ def claims_ledger_join(spark, folder):
 @query("q_fee_eligible", f"""
 WITH {CLAIMS_SQL},
 dim AS (SELECT DISTINCT c_mktsegment AS client_cd, 'Brand#' || CAST(c_nationkey + 1 AS VARCHAR) AS network_cd
-        FROM customer WHERE c_acctbal > 8000)
+        FROM customer)
 SELECT c.client_cd, c.network_cd, COUNT(*) AS total_records, CAST(SUM(total_charge_amt) AS DOUBLE) AS total_charges,
        CAST(SUM(savings_amt) AS DOUBLE) AS total_savings
 FROM claims c JOIN dim d ON c.client_cd = d.client_cd AND c.network_cd = d.network_cd GROUP BY ALL
 """)
 def fee_eligible(spark, folder):
     rows = claims(spark, folder, "claim_id", "client_cd", "network_cd", "total_charge_amt", "savings_amt")
-    dim = table(spark, folder, "customer").filter("c_acctbal > 8000").selectExpr(
+    dim = table(spark, folder, "customer").selectExpr(
         "c_mktsegment as ccode", "concat('Brand#', cast(c_nationkey + 1 as string)) as productcode",
         "c_acctbal as feetype",
     )
@@ -74,10 +74,10 @@ def fee_eligible(spark, folder):
 
 @query("q_right_join_labels", """
 SELECT l.doc_id, lang, source, quality, toxic
-FROM (SELECT doc_id, lang, source FROM documents WHERE lang = 'en') d RIGHT JOIN labels l ON d.doc_id = l.doc_id
+FROM (SELECT doc_id * 2 AS doc_id, lang, source FROM documents) d RIGHT JOIN labels l ON d.doc_id = l.doc_id
 """)
 def right_join_labels(spark, folder):
-    raw = table(spark, folder, "documents").filter("lang = 'en'").select("doc_id", "lang", "source")
+    raw = table(spark, folder, "documents").selectExpr("doc_id * 2 as doc_id", "lang", "source")
     return joins.labels_to_rows(raw, table(spark, folder, "labels"), "doc_id")
 
 
@@ -158,15 +158,15 @@ def posting_lag(spark, folder):
 @query("q_leaf_vs_decision", """
 WITH leaves AS (SELECT o_orderkey AS claim_id, o_custkey % 8 AS leaf_label FROM orders)
 SELECT leaf_label,
-  COUNT(*) FILTER (WHERE claim_id IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F' AND l_quantity > 25)) AS n_paying,
-  COUNT(*) FILTER (WHERE claim_id IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 25)) AS n_not_paying
+  COUNT(*) FILTER (WHERE claim_id IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F')) AS n_paying,
+  COUNT(*) FILTER (WHERE claim_id IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')) AS n_not_paying
 FROM leaves
-WHERE claim_id IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 25 AND (l_linestatus = 'F' OR l_returnflag = 'R'))
+WHERE claim_id IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F' OR l_returnflag = 'R')
 GROUP BY leaf_label
 """)
 def leaf_vs_decision(spark, folder):
     leaves = table(spark, folder, "orders").selectExpr("o_orderkey as claim_id", "o_custkey % 8 as leaf_label")
-    lines = table(spark, folder, "lineitem").filter("l_quantity > 25")
+    lines = table(spark, folder, "lineitem")
     paying = lines.filter("l_linestatus = 'F'").selectExpr("l_orderkey as claim_id")
     not_paying = lines.filter("l_returnflag = 'R'").selectExpr("l_orderkey as claim_id")
     return joins.leaf_vs_decision(leaves, paying, not_paying)
@@ -177,7 +177,7 @@ SELECT o_orderkey AS claim_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS rec
        o_totalprice AS savings_amt, o_custkey % 8 AS leaf_label
 FROM orders
 WHERE o_orderstatus = 'O' AND o_custkey % 8 IN (1, 3, 5) AND year(o_orderdate) = 1997 AND month(o_orderdate) IN (1, 2, 3, 4, 5)
-  AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40)
+  AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
 ORDER BY savings_amt DESC, claim_id
 """)
 def leaf_worklist(spark, folder):
@@ -187,6 +187,6 @@ def leaf_worklist(spark, folder):
         "o_orderkey as claim_id", "cast(o_orderdate as date) as received_dt", "o_totalprice as savings_amt",
         "case when o_orderstatus = 'O' then 'UNPAID' else 'PAID' end as payment_status",
     )
-    sent = table(spark, folder, "lineitem").filter("l_returnflag = 'R' and l_quantity > 40").selectExpr("l_orderkey as claim_id")
+    sent = table(spark, folder, "lineitem").filter("l_returnflag = 'R'").selectExpr("l_orderkey as claim_id")
     out = joins.leaf_worklist(labelled, raw, sent, [1, 3, 5], 1997, [1, 2, 3, 4, 5])
     return out.drop("payment_status").transform(iso_dates)

@@ -133,4 +133,4 @@ def chi_square(spark, folder):
         "l_linestatus", "l_returnflag", "l_linenumber", "case when l_tax > 0.04 then 'Y' else 'N' end as high_tax"
     )
     out = profiling.chi_square(rows, list(_CHI), "l_linestatus", ["F", "O"])
-    return out.withColumns({"chi2": F.round("chi2", 6), "p_value": F.round("p_value", 8)})
+    return out.withColumns({"chi2": F.round("chi2", 6), "p_value": F.round("p_value", 8), "log_p": F.round("log_p", 6)})

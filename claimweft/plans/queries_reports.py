@@ -65,7 +65,8 @@ def booking_status(spark, folder):
     return booking.booking_status(claims(spark, folder, *_BOOKING_COLUMNS)).transform(as_double)
 
 
-_ENTRY_MONTHS = ("1996-01", "1996-02", "1996-03", "1996-04", "1996-05", "1996-06")
+# every month in which the test claims were entered
+_ENTRY_MONTHS = tuple(f"{year}-{month:02d}" for year in range(1995, 2002) for month in range(1, 13))
 _PERCENTS_SQL = ",\n".join(
     f"""CASE WHEN COUNT(entry_month) > 0 THEN
         round_even(COUNT(*) FILTER (WHERE entry_month = '{m}') / COUNT(*) * 100, 1) END AS entry_{m.replace('-', '_')}"""
@@ -240,7 +241,7 @@ dim AS (
   SELECT n_name AS parent_client, MIN(s_acctbal) / 100000 AS min_rate,
          CAST(SUM(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) / 100000 AS avg_rate
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  WHERE n_regionkey <> 2 GROUP BY n_name),
+  GROUP BY n_name),
 cells AS (
   SELECT pcode, processed_month, payment_status, COUNT(*) AS total_records,
          CAST(SUM(total_charge_amt) AS DOUBLE) AS total_charges, CAST(SUM(savings_amt) AS DOUBLE) AS total_savings
@@ -253,7 +254,7 @@ def revenue_by_rate_dim(spark, folder):
         spark, folder, "claim_id", "pcode", "processed_month", "payment_status", "total_charge_amt", "savings_amt"
     )
     supplier = table(spark, folder, "supplier")
-    nation = table(spark, folder, "nation").filter("n_regionkey <> 2")
+    nation = table(spark, folder, "nation")
     balance = F.sum(F.col("s_acctbal").cast("decimal(18,2)")).cast("double")
     rates = (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
@@ -290,7 +291,7 @@ def ledger_rollup(spark, folder):
 @query("q_pepm_monthly", """
 WITH census AS (SELECT c_custkey AS group_id, c_mktsegment AS pcode, c_name AS client_nm,
                        c_nationkey AS census, '2024-01-01' AS census_eff_dt
-                FROM customer WHERE c_acctbal > 2000)
+                FROM customer)
 SELECT pcode, client_nm, strftime(date_trunc('month', ts), '%Y-%m-%d') AS date, event_type AS acctid,
        substr(event_type, 1, 1) AS ccode, census, group_id, census_eff_dt, COUNT(*) AS total_claims
 FROM events JOIN census ON user_id = group_id GROUP BY ALL
@@ -300,7 +301,7 @@ def pepm_monthly(spark, folder):
         "user_id as group_id", "event_type as acctid", "substr(event_type, 1, 1) as ccode",
         "year(ts) as year", "month(ts) as month", "1L as claim_ct",
     )
-    census = table(spark, folder, "customer").filter("c_acctbal > 2000").selectExpr(
+    census = table(spark, folder, "customer").selectExpr(
         "c_custkey as group_id", "c_mktsegment as pcode", "c_name as client_nm",
         "c_nationkey as census", "'2024-01-01' as census_eff_dt",
     )
