@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from claimweft.operators.dedupe import first_per_key
 
-ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
+ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
+# Character entities that occur in addresses.
+ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
 
 # Date shapes in file names, tried in this order, and their formats.
 NAME_DATES = (
@@ -27,15 +29,17 @@ def extract_links(
     extensions: Sequence[str] = (),
     text_contains: str | None = None,
 ) -> DataFrame:
-    """(page, position, href, text) of every anchor with a target, optionally filtered."""
-    anchors = F.arrays_zip(
-        F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1)).alias("href"),
-        F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(2)).alias("text"),
-    )
+    """(page, position, href, text) of every anchor with a target, optionally filtered.
+
+    Targets may be in double, single or no quotes; their entities are decoded.
+    """
+    groups = [F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(i + 1)) for i in range(4)]
+    names = ("double", "single", "bare", "text")
+    anchors = F.arrays_zip(*[g.alias(n) for g, n in zip(groups, names)])
     links = pages.select(page, F.posexplode(anchors).alias("position", "_a")).select(
         page,
         "position",
-        F.trim("_a.href").alias("href"),
+        F.trim(decode_entities(F.concat("_a.double", "_a.single", "_a.bare"))).alias("href"),
         F.trim(F.regexp_replace("_a.text", r"<[^>]*>", "")).alias("text"),
     )
     links = links.filter(F.col("href") != "")
@@ -50,6 +54,34 @@ def extract_links(
     return links
 
 
+def decode_entities(text: Column) -> Column:
+    for entity, char in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
+
+
+def absolute_url(base: Column, href: Column) -> Column:
+    """Address of a link on the page ``base``; parent steps (``../``) are taken one by one, at most ten."""
+    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)//", 1)
+    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_replace(F.substr(base, F.length(origin) + 1), r"[?#].*$", "")
+    folder = F.coalesce(F.nullif(F.regexp_replace(path, r"[^/]*$", ""), F.lit("")), F.lit("/"))
+    joined = (
+        F.when(href.startswith("/"), href)
+        .when(href.startswith("?"), F.concat(F.coalesce(F.nullif(path, F.lit("")), F.lit("/")), href))
+        .otherwise(F.concat(folder, href))
+    )
+    for _ in range(10):
+        joined = F.regexp_replace(joined, r"^((?:/[^/?#]+)*?)/(?!\.\.?/)[^/?#]+/\.\./", "$1/")
+    joined = F.regexp_replace(F.regexp_replace(joined, r"^(/\.\.)+/", "/"), r"/(\./)+", "/")
+    return (
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        .when(href.startswith("//"), F.concat(scheme, href))
+        .when(href.startswith("#"), F.concat(F.regexp_replace(base, r"#.*$", ""), href))
+        .otherwise(F.concat(origin, joined))
+    )
+
+
 def file_name(url: Column) -> Column:
     """Last path part in lower case, without query and fragment."""
     last = F.element_at(F.split(url, "/"), -1)

@@ -57,26 +57,25 @@ def _among(rows: DataFrame, key: str, sampled: DataFrame) -> DataFrame:
     return rows.join(sampled, F.col(key).cast("string") == F.col("_sampled"), "left_semi")
 
 
+# Derived column -> (columns it takes, formula).
+FEATURES = {
+    "log_billed_amount_sum": (("billed_amount_sum",), log_amount),
+    "log_reasonableandcustomary": (("reasonableandcustomary",), log_amount),
+    "log_noncoveredcharges": (("noncoveredcharges",), log_amount),
+    "has_noncoveredcharges": (("noncoveredcharges",), positive_flag),
+    "rnc_to_billed_ratio": (("reasonableandcustomary", "billed_amount_sum"), ratio_plus_one),
+    "noncovered_to_billed_ratio": (("noncoveredcharges", "billed_amount_sum"), ratio_plus_one),
+    "claim_age_bucket": (("days_since_received",), age_bucket),
+}
+
+
 def features(df: DataFrame) -> DataFrame:
     """Columns derived without looking at the outcome; each only where its inputs exist."""
-    have = {c.lower() for c in df.columns}
-    out = {}
-    for c in ("billed_amount_sum", "reasonableandcustomary", "noncoveredcharges"):
-        if c in have:
-            out[f"log_{c}"] = log_amount(F.col(c).cast("double"))
-    if "noncoveredcharges" in have:
-        out["has_noncoveredcharges"] = positive_flag(F.col("noncoveredcharges"))
-    if {"reasonableandcustomary", "billed_amount_sum"} <= have:
-        out["rnc_to_billed_ratio"] = ratio_plus_one(
-            F.col("reasonableandcustomary").cast("double"), F.col("billed_amount_sum").cast("double")
-        )
-    if {"noncoveredcharges", "billed_amount_sum"} <= have:
-        out["noncovered_to_billed_ratio"] = ratio_plus_one(
-            F.col("noncoveredcharges").cast("double"), F.col("billed_amount_sum").cast("double")
-        )
-    if "days_since_received" in have:
-        out["claim_age_bucket"] = age_bucket(F.col("days_since_received"))
-    return df.withColumns(out)
+    kinds = {name.lower(): kind for name, kind in df.dtypes}
+    amount = lambda c: F.col(c) if c == "days_since_received" else F.col(c).cast("double")
+    return df.withColumns(
+        {out: formula(*map(amount, takes)) for out, (takes, formula) in FEATURES.items() if kinds.keys() >= set(takes)}
+    )
 
 
 def model_rows(extracted: DataFrame) -> DataFrame:
@@ -88,6 +87,7 @@ def train_and_test(
     rows: DataFrame, columns: Sequence[str] = ENCODED_COLUMNS, key: str = "claim_key", test_share: float = 0.2
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stratified split, then out-of-fold encodings for training rows; returns (train, test, maps)."""
+    rows = stage_table(rows, "model-rows")  # cuts, folds and encodings all go over them
     split = stratified_split(rows, TARGET, CLASSES, [key], test_share)
     train = split.filter("is_test = 0").drop("is_test")
     test = split.filter("is_test = 1").drop("is_test")

@@ -482,3 +482,18 @@ def test_nan_is_missing_in_profiles(spark):
     assert {r.column: r.n_missing for r in profiling.missing_profile(df).collect()} == {"a": 1, "b": 1}
     corr = {(r.column_a, r.column_b): r.corr for r in profiling.correlation_matrix(df, ["a", "b"]).collect()}
     assert corr["a", "b"] > 0.99 and profiling.correlation_with(df, ["a"], "b").first().corr > 0.99
+
+
+def test_link_targets_without_quotes_and_addresses(spark):
+    from claimweft.operators import links
+
+    html = """<a href=/a.zip>A</a> <a class=x href='b&amp;c.html'>B</a> <A HREF="it's.xls">C</A><a name=q>no</a>"""
+    df = spark.createDataFrame([(1, html)], "page_id int, html string")
+    assert [r.href for r in links.extract_links(df).orderBy("position").collect()] == ["/a.zip", "b&c.html", "it's.xls"]
+    base = "https://h.org/x/y/page.html?q=1#f"
+    cases = {"/a.zip": "https://h.org/a.zip", "b.html": "https://h.org/x/y/b.html", "../c": "https://h.org/x/c", "../../../d": "https://h.org/d",
+             "//o.net/e": "https://o.net/e", "http://k.com": "http://k.com", "?p=2": "https://h.org/x/y/page.html?p=2", "./f": "https://h.org/x/y/f",
+             "#top": "https://h.org/x/y/page.html?q=1#top", "mailto:a@b.c": "mailto:a@b.c"}
+    df = spark.createDataFrame([(base, h) for h in cases], "b string, h string")
+    got = {r.h: r.u for r in df.select("h", links.absolute_url(F.col("b"), F.col("h")).alias("u")).collect()}
+    assert got == cases
