@@ -5,6 +5,10 @@ The template tree of a host is grown level by level over distinct path shapes, n
 * digits become ``#`` and long hexadecimal names ``{hex}``, so numbered pages share a shape;
 * a branch stays by itself only if it has ``min_support`` pages and its share of blocked labels
   differs significantly from that of the branches beside it; all others merge into ``*``;
+* for verdicts, a branch that isn't shown to be like those beside it doesn't merge with them either:
+  one without labels, and, where half of the labels or more are blocked, one whose own labels are
+  mostly allowed or, with enough pages, no more often blocked than the prior has it. With enough
+  pages it keeps its name, else it goes to ``?``, which has no majority of blocked labels;
 * a template's purity is (blocked + m * prior) / (labelled + m), and pages of templates with a
   purity of a half or more are blocked. The prior is low: without labels nothing is blocked.
 
@@ -26,6 +30,7 @@ Rule = tuple[str, str, str]
 MIN_SUPPORT = 20
 #: Chi-square of one degree of freedom at 1 %.
 SIGNIFICANT = 6.635
+MERGED, UNLIKE = "*", "?"
 PRIOR, PRIOR_WEIGHT, THRESHOLD = 0.1, 10.0, 0.5
 #: Segments of a template; what follows is one more, ``**``.
 DEPTH = 8
@@ -71,10 +76,21 @@ def _differs(n: str, bad: str, all_n: str, all_bad: str) -> Column:
     return chi > SIGNIFICANT
 
 
-def template_tree(shapes: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
+def _unlike(min_support: int) -> Column:
+    """Whether nothing shows that a branch is like the others of its node, which have labels."""
+    n, labelled, bad = F.col("n"), F.col("labelled"), F.col("bad")
+    blocked = F.col("all_bad") * 2 >= F.col("all_labelled")
+    over = bad - labelled * PRIOR - 0.5  # chi-square against the prior, with Yates's correction
+    above_prior = (over > 0) & (over * over > labelled * (SIGNIFICANT * PRIOR * (1 - PRIOR)))
+    doubtful = (bad * 2 < labelled) | ((n >= min_support) & ~above_prior)
+    return (F.col("all_labelled") > 0) & ((labelled == 0) | (blocked & doubtful))
+
+
+def template_tree(shapes: DataFrame, min_support: int = MIN_SUPPORT, unlike_apart: bool = False) -> DataFrame:
     """(host, shape, template) from (host, shape, n, labelled, bad), one row per distinct shape.
 
     One level at a time: branch counts, node counts, the branches that stay, the longer template.
+    ``unlike_apart``, which verdicts need, keeps branches not shown to be alike out of ``*``.
     """
     tree = shapes.withColumns({"segments": F.split("shape", "/"), "template": F.lit("")})
     depth = shapes.agg(F.max(F.size(F.split("shape", "/")))).first()[0] or 0
@@ -84,16 +100,15 @@ def template_tree(shapes: DataFrame, min_support: int = MIN_SUPPORT) -> DataFram
         sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
         branches = tree.filter("branch is not null").groupBy(*node, "branch").agg(*sums)
         nodes = branches.groupBy(*node).agg(F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
-        stay = (
-            branches.join(nodes, node)
-            .filter((F.col("n") >= min_support) & _differs("labelled", "bad", "all_labelled", "all_bad"))
-            .select(*node, "branch", F.lit(True).alias("stays"))
-        )
-        longer = F.concat("template", F.lit("/"), F.when(F.col("stays"), F.col("branch")).otherwise(F.lit("*")))
+        stays = _differs("labelled", "bad", "all_labelled", "all_bad")
+        unlike = _unlike(min_support) if unlike_apart else F.lit(False)
+        name = F.when((F.col("n") >= min_support) & (stays | unlike), F.col("branch")).when(unlike, F.lit(UNLIKE))
+        apart = branches.join(nodes, node).select(*node, "branch", name.alias("name")).filter("name is not null")
+        longer = F.concat("template", F.lit("/"), F.coalesce("name", F.lit(MERGED)))
         tree = stage_table(
-            tree.join(stay, [*node, "branch"], "left")
+            tree.join(apart, [*node, "branch"], "left")
             .withColumn("template", F.when(F.col("branch").isNull(), F.col("template")).otherwise(longer))
-            .drop("branch", "stays"),
+            .drop("branch", "name"),
             "url-tree",
         )
     return tree.drop("segments")
@@ -118,7 +133,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         ),
         "url-shapes",
     )
-    tree = template_tree(shapes)
+    tree = template_tree(shapes, unlike_apart=True)
     verdicts = stage_table(
         tree.select("host", "shape", "template").join(template_purity(tree), ["host", "template"]), "url-verdicts"
     )

@@ -416,6 +416,32 @@ def test_template_tree(spark):
         assert p == pytest.approx((bad + 1) / (labelled + 10))
 
 
+def test_branches_without_labels_are_not_blocked(spark):
+    rules = [("block", "net", "/es/"), ("block", "net", "/fr/"), ("allow", "net", "/it/"), ("block", "net", "/shop/1")]
+    paths = [f"/{p}/{i}" for p, n in (("es", 30), ("fr", 30), ("en", 60), ("de", 5), ("it", 3), ("shop", 40)) for i in range(n)]
+    paths += [f"/{p}/{i}" for p in ("it", "de") for i in range(3)]
+    rows = [(i, f"http://a.net{p}") for i, p in enumerate(paths)]
+    got = urlfilter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    verdicts = collections.defaultdict(set)
+    for r in got:
+        verdicts[r.path.split("/")[1], r.rule is not None].add(r.verdict)
+    assert len(got) == len(rows)
+    assert verdicts["es", True] == verdicts["fr", True] == {"block"} and verdicts["it", True] == {"allow"}
+    assert verdicts["en", False] == verdicts["de", False] == {"allow"}
+    # 11 of 40 pages have blocked labels of their own, which is what the others are judged by
+    assert verdicts["shop", False] == {"block"}
+    prior = {r.purity for r in got if r.path.startswith("/en/")}
+    assert prior == {urlfilter.PRIOR}
+
+
+def test_registered_rules_block_no_branch_without_labels(spark, rows_of):
+    """Under these rules /en/ and /de/ pages of .net hosts have no labels."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    got = urlfilter.judge(pages, queries.URL_RULES)
+    unruled = got.filter("rule is null and host like '%.net'").groupBy("verdict").count().collect()
+    assert [r.verdict for r in unruled] == ["allow"] and unruled[0]["count"] > 500
+
+
 def test_shapes(spark):
     rows = [("/en/853/",), ("/a/0f3c9d2e8b7a6c5d/x.html",), ("",), ("/1/2/3/4/5/6/7/8/9/10",), ("/en/474.html",)]
     got = [r[0] for r in spark.createDataFrame(rows, "p string").select(urlfilter.shape(F.col("p"))).collect()]
