@@ -163,6 +163,55 @@ def test_leaks_of_whole_and_changed_passages(spark, sf_dir, docs, rows_of):
     assert found >= 0.9 * len(items)
 
 
+def test_recall_with_thousands_of_items(spark, monkeypatch):
+    """Passages at shares of 0.6 to 1, against the longest common subsequence of every region."""
+    rnd = random.Random(12)
+    read = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").select("text").collect()
+    long = [w for r in read if len(w := (r.text or "").split()) > 80]
+    texts = []
+    for _ in range(1500):
+        w, n = rnd.choice(long), rnd.choice([rnd.randint(8, 14), rnd.randint(15, 24), rnd.randint(25, 59)])
+        start = rnd.randint(0, len(w) - n)
+        texts.append(w[start : start + n])
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "item_id long, text string")
+    planted, want = [], collections.defaultdict(set)
+    for d in range(400):
+        share, i = (1.0, 0.8, 0.7, 0.6)[d % 4], rnd.randrange(len(texts))
+        words, host = list(texts[i]), rnd.choice(long)[:300]
+        body = len(words) - max(3, len(words) // 5)
+        for k in rnd.sample(range(body), min(body, len(words) - math.ceil(share * len(words)))):
+            words[k] = rnd.choice(host)
+        at = rnd.randint(0, len(host))
+        planted.append((d, " ".join(host[:at] + words + host[at:])))
+        item, found = leaks.Item(i, grams.tokens([" ".join(texts[i])])[0]), grams.tokens([planted[-1][1]])[0]
+        if any(item.shares(found[j : j + item.width * leaks.STRIDE]) for j in range(0, len(found), leaks.STRIDE)):
+            want[share].add((d, i))
+    docs = spark.createDataFrame(planted, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.item_id) for r in leaks.find_leaks(docs, bench).select("doc_id", "item_id").collect()}
+    assert {s: len(w & got) / len(w) >= 0.97 for s, w in want.items()} == dict.fromkeys(want, True)
+    assert min(map(len, want.values())) > 50
+    # several passes drop what one pass finds
+    few = bench.filter("item_id < 60")
+    leaked = {r.doc_id for r in leaks.find_leaks(docs, few).collect()}
+    monkeypatch.setattr(leaks, "ITEM_BLOCK", 30)
+    monkeypatch.setattr(leaks, "PASS_BLOCKS", 1)
+    kept = {r.doc_id for r in leaks.decontaminate(docs, few).collect()}
+    assert len(kept & leaked) <= 1 and len(kept) >= 400 - len(leaked) - 2 and leaked
+
+
+def test_brief_items_are_looked_up_by_their_words():
+    """Even in a space where nothing is near anything."""
+    words = [f"w{i}" for i in range(400)]
+    brief = [words[10:19], words[30:41], words[50:54]]
+    items = [leaks.Item(i, grams.tokens([" ".join(w)])[0]) for i, w in enumerate(brief)]
+    searcher = leaks.Searcher(items, np.zeros((leaks.VOCABULARY, leaks.RANK), np.float16))
+    searcher.gate[:] = 1.0
+    host = words[100:180]
+    texts = [" ".join([*host[:k], *brief[i][: 5 + i], "other", *brief[i][6 + i :], *host[k:]]) for i in (0, 1) for k in (0, 7, 33, 80)]
+    texts += [" ".join([*host[:k], *brief[2], *host[k:]]) for k in (0, 15, 80)] + ["", " ".join(host)]
+    assert sorted((d, i) for d, i, *_ in searcher.leaks(texts)) == [(d, d // 4 if d < 8 else 2) for d in range(11)]
+
+
 def test_common_subsequence_and_its_bounds():
     rnd = random.Random(4)
 
