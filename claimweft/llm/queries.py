@@ -67,7 +67,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 def op8_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from claimweft.llm.topk import top_k
 
-    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, every_row=True)
 
 
 #: (verdict, host, path), fixed values.

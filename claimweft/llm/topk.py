@@ -11,7 +11,7 @@ of each whatever the table's size. Each cell keeps its k best of every query, an
 those are the result.
 
 Rows with a null vec_id or vector, or with a null, NaN or infinite component, take no part. Equal
-rows count once. A query's own row is any with its vec_id. Vectors of other lengths are compared
+rows count once, unless ``every_row`` counts each and ranks all rows of a query's vec_id in one list. A query's own row is any with its vec_id. Vectors of other lengths are compared
 as if filled up with zeros. Ties go to the smaller vec_id.
 """
 
@@ -32,7 +32,7 @@ RESOLUTIONS = (4, 16)
 CELL_ROWS = 4096
 MIN_LANES = 64
 _QUERIES_AT_ONCE = 128
-_FOUND = "query_id long, query_key long, vec_id long, score long"
+_FOUND = "query_id long, query_key long, vec_id long, score long, copies long"
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -104,9 +104,9 @@ def _cell(rows: pa.Table) -> pa.Table:
     asks = rows.column("asks").to_numpy().astype(bool)
     width = max(1, pa.compute.max(pa.compute.list_value_length(rows.column("vec"))).as_py() or 0)
     vec, vec_id, key = _matrix(rows.column("vec"), width), rows.column("vec_id").to_numpy(), rows.column("key").to_numpy()
-    qid, qkey, cid = vec_id[asks], key[asks], vec_id[~asks]
+    qid, qkey, cid, copies = vec_id[asks], key[asks], vec_id[~asks], rows.column("copies").to_numpy()
     qi, ci, score = best_in_cell(qid, vec[asks], cid, vec[~asks])
-    return pa.table({"query_id": qid[qi], "query_key": qkey[qi], "vec_id": cid[ci], "score": score})
+    return pa.table({"query_id": qid[qi], "query_key": qkey[qi], "vec_id": cid[ci], "score": score, "copies": copies[asks][qi] * copies[~asks][ci]})
 
 
 def integer_vector(embedding: Column) -> Column:
@@ -118,13 +118,17 @@ def usable(embedding: Column) -> Column:
     return embedding.isNotNull() & ~bad
 
 
-def top_k(rows: DataFrame, is_query: Column, k: int = K) -> DataFrame:
-    """(query_id, rank, vec_id, score) for every row of ``rows`` (vec_id, embedding) that asks."""
+def top_k(rows: DataFrame, is_query: Column, k: int = K, every_row: bool = False) -> DataFrame:
+    """(query_id, rank, vec_id, score) for every row of ``rows`` (vec_id, embedding) that asks.
+
+    Equal rows go through the cells once, with the number of their copies, of which a list has
+    room for k.
+    """
     vectors = (
         rows.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
         .select(F.col("vec_id").cast("long").alias("vec_id"), integer_vector(F.col("embedding")).alias("vec"), is_query.alias("asks"))
-        .withColumn("key", F.xxhash64("vec_id", "vec"))
-        .dropDuplicates(["vec_id", "vec"])
+        .groupBy("vec_id", "vec").agg(F.max("asks").alias("asks"), F.count("*").alias("n"))
+        .select("vec_id", "vec", "asks", F.xxhash64("vec_id", "vec").alias("key"), (F.least("n", F.lit(k)) if every_row else F.lit(1)).cast("long").alias("copies"))
     )
     vectors = stage_table(vectors, "vectors")
     sizes = vectors.agg(F.count("*").alias("n"), F.count_if("asks").alias("asking")).first()
@@ -133,10 +137,13 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     lane = F.pmod("key", F.lit(lanes))
     group = F.pmod(F.xxhash64("key"), F.lit(groups))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    candidates = vectors.select(F.lit(False).alias("asks"), "vec_id", "key", "vec", lane.alias("lane"), every(groups).alias("group"))
-    queries = vectors.filter("asks").select(F.lit(True).alias("asks"), "vec_id", "key", "vec", every(lanes).alias("lane"), group.alias("group"))
+    candidates = vectors.select(F.lit(False).alias("asks"), "vec_id", "key", "vec", "copies", lane.alias("lane"), every(groups).alias("group"))
+    queries = vectors.filter("asks").select(F.lit(True).alias("asks"), "vec_id", "key", "vec", "copies", every(lanes).alias("lane"), group.alias("group"))
     found = candidates.unionByName(queries).groupBy("lane", "group").applyInArrow(_cell, _FOUND)
-    best = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
+    if every_row:
+        copies = F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k).cast("long")))
+        found = found.withColumn("copy", F.explode(copies))
+    best = Window.partitionBy("query_id", *([] if every_row else ["query_key"])).orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
