@@ -133,6 +133,53 @@ def op4_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: CRC-32 of the decimal conv_id, bit by bit: a code point goes in, then eight shifts (-1).
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+
+ORACLE["op13_depth_band_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS source, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)
+), turns AS (
+  SELECT c.conv_id, 0 AS part, place, role, text FROM c JOIN t ON t.conv_id = c.source AND t.place <= c.h
+  UNION ALL SELECT c.conv_id, 1, place, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.place > c.h
+), lists AS (
+  SELECT conv_id, coalesce(x, CAST([] AS STRUCT(role VARCHAR, text VARCHAR)[])) AS x
+  FROM c LEFT JOIN (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY part, place) AS x FROM turns GROUP BY conv_id) USING (conv_id)
+), members AS (
+  SELECT conv_id, d AS depth, x[1:d] AS node, len(x) = d AS ends FROM (SELECT *, unnest(range(len(x) + 1)) AS d FROM lists)
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ended
+  FROM members GROUP BY node, depth
+), children AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), valued AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf,
+    CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(nodes.node[depth].text, '[^\\x20\\x09-\\x0D]+')) END AS saved
+  FROM nodes LEFT JOIN children ON nodes.node = children.node
+), totals AS (
+  SELECT node[1:d] AS node, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT node, leaf, saved, unnest(range(depth + 1)) AS d FROM valued) GROUP BY 1
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(v.ended) AS ends_sha256
+FROM valued v JOIN totals ON v.node = totals.node LEFT JOIN nodes p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.node = v.node[1:v.depth - 1]
+"""
+
+
+@query
+def op13_depth_band_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweft.llm.trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("k1", "k2")
+
+
 def load_pipeline() -> None:
     """The pipeline module stands at the repository's top and imports the operators."""
     import corpus_pipeline

@@ -34,8 +34,8 @@ def test_tokens_do_not_depend_on_how_texts_are_cut(monkeypatch):
     assert len(whole[0]) == len(words)
     assert len(set(whole[0].tolist())) == len(set(words))
     runs, at = grams.ngrams(*whole, 5)
-    assert np.diff(at).tolist() == [3, 0, 0, 46, 1]
-    assert len(set(runs.tolist())) == 3 + 1 + 1
+    assert np.diff(at).tolist() == [4, 0, 0, 46, 1]
+    assert len(set(runs.tolist())) == 4 + 1 + 1
 
 
 # --- 1 quality ---------------------------------------------------------------------------
