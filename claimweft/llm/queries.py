@@ -133,6 +133,53 @@ def op4_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_window_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from claimweft.llm.packing import pack
+
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+
+ORACLE["op12_dense_blocks"] = f"""
+WITH words AS (
+  SELECT r, doc_id, {_TERMS} FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
+), sizes AS (
+  SELECT r, any_value(doc_id) AS doc_id, count(*) AS n_own FROM words GROUP BY r
+), totals AS (
+  SELECT count(*) AS n_docs, CAST(sum(n_own) AS BIGINT) AS n_terms FROM sizes
+), tfs AS (
+  SELECT r, term, count(*) AS tf FROM words GROUP BY r, term
+), dfs AS (
+  SELECT term, count(*) AS df FROM tfs GROUP BY term
+), asked AS (
+  SELECT i, item_id, term, count(*) AS q
+  FROM (SELECT i, item_id, {_TERMS} FROM (SELECT row_number() OVER () AS i, * FROM (SELECT DISTINCT item_id, text FROM benchmark)))
+  GROUP BY i, item_id, term
+), scored AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(q * CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n_own * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN dfs USING (term) JOIN tfs USING (term) JOIN sizes USING (r) CROSS JOIN totals
+  GROUP BY i, item_id, r, doc_id
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+) WHERE rank <= 10
+"""
+
+
+@query
+def op12_dense_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from claimweft.llm.lexical import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: CRC-32 of the decimal conv_id, bit by bit: a code point goes in, then eight shifts (-1).
 _CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
     lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
