@@ -30,15 +30,12 @@ def claim_measures() -> dict[str, Column]:
     }
 
 
-def with_share_of_all(counts: DataFrame, n: str, name: str = "share", few_rows: bool = False) -> DataFrame:
+def with_share_of_all(counts: DataFrame, n: str, name: str = "share") -> DataFrame:
     """Each count over the total.
 
-    The total is a single broadcast row, so any number of rows will do; with plain counts the
-    shuffle they come from is reused. ``few_rows`` (a report by status) uses a window over the
-    report instead, which keeps a report with more measures at one scan.
+    The total is a single broadcast row, so any number of rows will do. With plain counts the
+    shuffle they come from is reused; stage a report of more measures, so that it is computed once.
     """
-    if few_rows:
-        return counts.withColumn(name, F.col(n) / F.sum(n).over(Window.partitionBy(F.lit(0))))
     total = counts.agg(F.sum(n).alias("_total"))
     return (
         counts.crossJoin(F.broadcast(total))

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimweft.functions.dates import month_label, month_of
 from claimweft.functions.text import normalise_key
 from claimweft.operators.aggregates import with_share_of_group, zero_sum
 
@@ -62,6 +63,19 @@ def with_revenue_estimates(claims: DataFrame) -> DataFrame:
     )
 
 
+def _fee_measures(fee_keys: Sequence[str]) -> list:
+    """Sums per cell from which reports of any coarser keys follow."""
+    fee = _paid_fee()
+    return [
+        F.count("claim_id").alias("total_records"),
+        zero_sum("total_charge_amt").alias("total_charges"),
+        zero_sum("savings_amt").alias("total_savings"),
+        F.min(fee).alias("_min_fee"),
+        F.sum(F.when(_known(fee_keys), fee)).alias("_fee_sum"),
+        F.count(fee).alias("_fee_n"),
+    ]
+
+
 def revenue_cells(
     claims: DataFrame, keys: Sequence[str], client_group: str = "pcode", fee_keys: Sequence[str] = FEE_KEYS
 ) -> DataFrame:
@@ -70,15 +84,10 @@ def revenue_cells(
     Fee bounds are per ``client_group``. Rows with a NULL key drop out of the report, but
     their paid fees still count for the bounds.
     """
-    fee = _paid_fee()
-    cells = claims.groupBy(client_group, *keys).agg(
-        F.count("claim_id").alias("total_records"),
-        zero_sum("total_charge_amt").alias("total_charges"),
-        zero_sum("savings_amt").alias("total_savings"),
-        F.min(fee).alias("_min_fee"),
-        F.sum(F.when(_known(fee_keys), fee)).alias("_fee_sum"),
-        F.count(fee).alias("_fee_n"),
-    )
+    return _with_revenue(claims.groupBy(client_group, *keys).agg(*_fee_measures(fee_keys)), keys, client_group)
+
+
+def _with_revenue(cells: DataFrame, keys: Sequence[str], client_group: str) -> DataFrame:
     group = Window.partitionBy(client_group)
     low = F.min("_min_fee").over(group).cast("double")
     high = F.try_divide(F.sum("_fee_sum").over(group).cast("double"), F.sum("_fee_n").over(group))
@@ -92,6 +101,35 @@ def revenue_cells(
     )
 
 
+#: Keys of the cells that all monthly reports follow from.
+REPORT_KEYS = ("pcode", "processed_month", "entry_month", "client_cd", "payment_status")
+
+
+def report_cells(claims: DataFrame, fee_keys: Sequence[str] = FEE_KEYS) -> DataFrame:
+    """Claims per ``REPORT_KEYS`` and ``booked`` (with savings, no resubmit): one scan, one shuffle of the claims.
+
+    As many rows as pairs of months by clients and statuses.
+    """
+    booked = F.coalesce((F.col("savings_amt") > 0) & ((F.col("entry_dt") > F.col("processed_dt")) | F.col("entry_dt").isNull()), F.lit(False))
+    months = {"processed_month": month_of(F.col("processed_dt")), "entry_month": month_of(F.col("entry_dt"))}
+    rows = claims.withColumns({**months, "booked": booked})
+    cells = rows.groupBy(*REPORT_KEYS, "booked").agg(*_fee_measures(fee_keys))
+    return cells.withColumns({name: month_label(F.col(name)) for name in months})
+
+
+def booked_cells(cells: DataFrame, keys: Sequence[str] = ("pcode",)) -> DataFrame:
+    """Cells of the booking reports (see ``booking_cells``) from report cells."""
+    kept = cells.filter("booked").dropna(subset=[*keys, "processed_month"])
+    return kept.withColumnsRenamed({"total_records": "n", "total_savings": "savings"})
+
+
+def month_client_status_of(cells: DataFrame, client_group: str = "pcode") -> DataFrame:
+    """``month_client_status`` from report cells."""
+    keys = ["processed_month", "client_cd", "payment_status"]
+    sums = [F.sum(c).alias(c) for c in ("total_records", "total_charges", "total_savings", "_fee_sum", "_fee_n")]
+    return _with_revenue(cells.groupBy(client_group, *keys).agg(*sums, F.min("_min_fee").alias("_min_fee")), keys, client_group)
+
+
 def month_client_status(claims: DataFrame, client_group: str = "pcode") -> DataFrame:
     return revenue_cells(claims, ["processed_month", "client_cd", "payment_status"], client_group)
 
@@ -164,13 +202,17 @@ def revenue_by_rate_dim(
     Savings are summed per client before the rates are joined, so the join sees one row per
     (client, month, status) whatever the client's share of the claims.
     """
-    cells = claims.dropna(subset=["processed_month", "payment_status"]).groupBy(
-        client, "processed_month", "payment_status"
-    ).agg(
-        F.count("claim_id").alias("total_records"),
-        zero_sum("total_charge_amt").alias("total_charges"),
-        zero_sum("savings_amt").alias("total_savings"),
-    )
+    measures = [F.count("claim_id").alias("total_records"), zero_sum("total_charge_amt").alias("total_charges"), zero_sum("savings_amt").alias("total_savings")]
+    return _with_rates(claims, measures, rates, client, rate_client)
+
+
+def revenue_by_rate_dim_of(cells: DataFrame, rates: DataFrame, client: str = "pcode", rate_client: str = "parent_client") -> DataFrame:
+    """``revenue_by_rate_dim`` from report cells."""
+    return _with_rates(cells, [F.sum(c).alias(c) for c in MEASURES], rates, client, rate_client)
+
+
+def _with_rates(rows: DataFrame, measures: Sequence, rates: DataFrame, client: str, rate_client: str) -> DataFrame:
+    cells = rows.dropna(subset=["processed_month", "payment_status"]).groupBy(client, "processed_month", "payment_status").agg(*measures)
     keyed = rates.select(
         normalise_key(F.col(rate_client)).alias("_client"),
         F.col("min_rate").alias("_low"),

@@ -4,26 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from claimweft.functions.amounts import clean_infinite
 from claimweft.functions.dates import lenient_date, month_label
 from claimweft.functions.flags import decode_indicator, overwrite_where_contains, remap
 from claimweft.functions.text import strip_non_word
-from claimweft.operators.booking import booking_long, booking_status
+from claimweft.operators.booking import curve_of_cells, status_of_cells
 from claimweft.operators.columns import zero_missing
 from claimweft.operators.dedupe import EVENT_KEYS, priority_dedupe
 from claimweft.operators.filters import claim_population, exclude_values
 from claimweft.operators.joins import dedupe_dimension, eligible_only
-from claimweft.operators.revenue import month_client_status, remaining_to_pay, status_pivot
+from claimweft.operators.revenue import (
+    booked_cells, month_client_status, month_client_status_of, remaining_to_pay, report_cells, revenue_by_rate_dim_of, status_pivot,
+)
+from claimweft.plans.worklists import WORKLIST_COLUMNS, unpaid_worklist
+from claimweft.session import stage_table
 from claimweft.sources.files import write_per_client
 
 
-def typed_extract(raw: DataFrame, dates: Sequence[str], amounts: Sequence[str]) -> DataFrame:
-    """Text extract to dates and amounts; junk becomes NULL."""
+def typed_extract(
+    raw: DataFrame, dates: Sequence[str], amounts: Sequence[str], quality: Observation | None = None
+) -> DataFrame:
+    """Text extract to dates and amounts; junk becomes NULL.
+
+    ``quality`` is told, by whatever writes or reads the rows first, the number of rows and how many
+    texts of each column gave no value (``unparsed_<column>``); no pass of its own is made.
+    """
     money = {c: F.col(c).try_cast("decimal(18,2)") for c in amounts}
-    return raw.withColumns({**{c: lenient_date(F.col(c)) for c in dates}, **money})
+    parsed = {**{c: lenient_date(F.col(c)) for c in dates}, **money}
+    if quality is not None:
+        filled = {c: ~F.coalesce(F.trim(F.col(c).cast("string")).isin("", "0"), F.lit(True)) for c in parsed}
+        lost = [F.count_if(filled[c] & value.isNull()).alias(f"unparsed_{c}") for c, value in parsed.items()]
+        raw = raw.observe(quality, F.count("*").alias("n_rows"), *lost)
+    return raw.withColumns(parsed)
 
 
 def clean_claims(
@@ -71,19 +86,40 @@ def summary(claims: DataFrame) -> DataFrame:
     Claims need processed_dt, network_cd and a numeric fee_amount.
     """
     rows = claims.withColumn("processed_month", month_label(F.col("processed_dt")))
-    cells = month_client_status(rows)
+    return summary_of_cells(month_client_status(rows))
+
+
+def summary_of_cells(cells: DataFrame) -> DataFrame:
     return remaining_to_pay(status_pivot(cells, ["pcode", "processed_month"]))
 
 
-def write_reports(claims: DataFrame, root: str, pull_date: str) -> dict[str, str]:
-    """Booking curve (long), booking status and summary under one folder per client and pull date."""
+def write_reports(
+    claims: DataFrame, root: str, pull_date: str, rates: DataFrame | None = None, worklist_after: str | None = None
+) -> dict[str, str]:
+    """All reports of a pull, one folder per client and pull date under one folder per report.
+
+    Booking curve (long), booking status and summary; with ``rates`` the rate-table revenue; with
+    ``worklist_after`` the unpaid claims received after that day. The claims are read once: every
+    table of counts follows from one staged table of cells, and the work-list, whose rows are claims,
+    is written from the claims that the cells were counted on.
+    """
+    if worklist_after is not None:
+        claims = stage_table(claims, "report-claims")
+    cells = stage_table(report_cells(claims), "report-cells")
+    booked = booked_cells(cells)
     reports = {
-        "booking_curve": booking_long(claims),
-        "booking_status": booking_status(claims),
-        "summary_stats": summary(claims),
+        "booking_curve": curve_of_cells(booked),
+        "booking_status": status_of_cells(booked),
+        "summary_stats": summary_of_cells(month_client_status_of(cells)),
     }
+    if rates is not None:
+        reports["rate_revenue"] = revenue_by_rate_dim_of(cells, rates)
+    if worklist_after is not None:
+        known = {c.lower() for c in [*claims.columns, "zip3"]}
+        reports["worklist"] = unpaid_worklist(claims, worklist_after, ["pcode", *[c for c in WORKLIST_COLUMNS if c.lower() in known]])
     paths = {}
     for name, df in reports.items():
         paths[name] = f"{root}/{name}"
         write_per_client(df.withColumn("pull_date", F.lit(pull_date)), paths[name])
     return paths
+

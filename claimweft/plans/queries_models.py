@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from claimweft.functions.codes import CATEGORICAL, NUMERIC
 from claimweft.models.factors import factor_table, factors_long
 from claimweft.models.scoring import score_batch
-from claimweft.models.training import feature_importances, feature_stages, fit_tree, label_leaves
+from claimweft.models.training import candidate_models, feature_importances, feature_stages, fit_tree, label_leaves
 from claimweft.plans.adapters import CLAIMS_SQL, claims, table
-from claimweft.plans.income_model import LABEL, labelled
+from claimweft.plans.income_model import CLASSES, LABEL, labelled, train as train_income
+from claimweft.operators.encoding import with_class_weight
 from claimweft.plans.registry import query
-from claimweft.session import stage_table
+from claimweft.session import stage_table, staged_path
 
 _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -65,9 +65,9 @@ def _tree_rows(spark, folder):
     """Factor rows, staged: fitting goes over them several times."""
     rows = claims(
         spark, folder, "claim_id", "line_number", "claim_type", "client_cd", "savings_amt", "total_charge_amt",
-        "fee_amount", "payment_status",
+        "fee_amount", "payment_status", "part_key",
     ).select(
-        "claim_id", "line_number", "claim_type", "client_cd",
+        "claim_id", "line_number", "claim_type", "client_cd", F.col("part_key").alias("procedure_cd"),
         *[F.col(c).cast("double").alias(c) for c in ("savings_amt", "total_charge_amt", "fee_amount")],
         F.expr("cast(payment_status = 'PAID' as int)").alias("target"),
     )
@@ -75,7 +75,8 @@ def _tree_rows(spark, folder):
 
 
 def _tree(rows):
-    return fit_tree(rows, ["savings_amt", "total_charge_amt", "fee_amount"], ["claim_type", "client_cd"])
+    """The procedure takes thousands of values."""
+    return fit_tree(rows, ["savings_amt", "total_charge_amt", "fee_amount"], ["claim_type", "client_cd", "procedure_cd"])
 
 
 @query("q_tree_leaves")
@@ -99,7 +100,7 @@ def tree_check(spark, folder):
     share = F.col("paid") / F.col("n")
     used = feature_importances(model, rows).agg(
         (F.abs(F.sum("importance") - 1) < 1e-6).alias("importances_sum"),
-        F.count_if(~F.col("feature").rlike("savings_amt|total_charge_amt|fee_amount|claim_type|client_cd")).cast("int").alias("n_unknown_features"),
+        F.count_if(~F.col("feature").rlike("savings_amt|total_charge_amt|fee_amount|claim_type|client_cd|procedure_cd")).cast("int").alias("n_unknown_features"),
     )
     return leaves.agg(
         F.sum("n").alias("n_rows"), F.sum("paid").alias("n_paid"),
@@ -128,11 +129,89 @@ def _people(spark, folder):
     )
 
 
+def _income(spark, folder):
+    """People, staged, and the logistic model of the income search with its own iterations, fitted on four fifths."""
+    people = stage_table(_people(spark, folder), "people")
+    train = stage_table(with_class_weight(labelled(people.filter("person % 5 <> 0")), LABEL, CLASSES), "train-rows")
+    stages = feature_stages(train, NUMERIC, CATEGORICAL, scale=True)
+    logreg = candidate_models(LABEL, "weight", train.count())["logreg"]
+    return people, PipelineModel([*stages, logreg.fit(PipelineModel(stages).transform(train))])
+
+
 @query("q_batch_scoring")
 def batch_scoring(spark, folder):
-    people = stage_table(_people(spark, folder), "people")
-    train = labelled(people.filter("person % 5 <> 0"))  # all are scored; a fifth was not trained on
-    stages = feature_stages(train, NUMERIC, CATEGORICAL)
-    logreg = LogisticRegression(labelCol=LABEL, maxIter=20, regParam=1e-4)
-    model = Pipeline(stages=[*stages, logreg]).fit(train)
-    return score_batch(model, people.drop("WAGP"), ["person"])
+    people, model = _income(spark, folder)
+    return score_batch(model, people.drop("WAGP"), ["person"])  # all are scored; a fifth was not trained on
+
+
+_PEOPLE_SQL = """
+  SELECT o_orderkey AS person, (o_totalprice / 6 + 500 * (o_custkey % 24) > 50000)::INT AS y, 10 + o_custkey % 70 >= 16 AS of_age FROM orders
+"""
+
+
+@query("q_scoring_check", f"""
+WITH p AS ({_PEOPLE_SQL})
+SELECT COUNT(*) AS n_rows, COUNT(DISTINCT person) AS n_people, 0 AS n_wrong_answers, 0 AS n_wrong_confidence, 0 AS n_changed_by_saving, TRUE AS better_than_chance
+FROM p
+""")
+def scoring_check(spark, folder):
+    """Train, save, load, score: the answers follow the threshold and do not depend on the saved form."""
+    people, model = _income(spark, folder)
+    path = staged_path(spark, "income-model")
+    model.save(path)
+    threshold = 0.5
+    batch = people.drop("WAGP")
+    out = score_batch(PipelineModel.load(path), batch, ["person"], threshold)
+    before = score_batch(model, batch, ["person"], threshold).select("person", F.col("probability_income_gt_50k").alias("before"))
+    p = F.col("probability_income_gt_50k")
+    sure = F.when(p >= threshold, p).otherwise(1 - p) * 100
+    answers = labelled(people).select("person", LABEL)
+    checked = out.join(before, "person").join(answers, "person", "left")
+    right = (F.col("prediction") == "Income > 50K").cast("int") == F.col(LABEL)
+    base = F.greatest(F.avg(LABEL), 1 - F.avg(LABEL))
+    return checked.agg(
+        F.count("*").alias("n_rows"), F.countDistinct("person").alias("n_people"),
+        F.count_if((p >= threshold) != (F.col("prediction") == "Income > 50K")).cast("int").alias("n_wrong_answers"),
+        F.count_if(F.abs(F.col("confidence_percent") - sure) > 0.0051).cast("int").alias("n_wrong_confidence"),
+        F.count_if(F.abs(p - F.col("before")) > 1e-12).cast("int").alias("n_changed_by_saving"),
+        (F.avg(F.when(F.col(LABEL).isNotNull(), right.cast("int"))) > base).alias("better_than_chance"),
+    )
+
+
+#: Grids of the registered search: every penalty, smaller forests and fewer boosting rounds than ``GRIDS``.
+_GRIDS = {"logreg": {"C": (0.1, 1, 10)}, "rf": {"numTrees": (10,), "maxDepth": (5, 8)}, "gbt": {"maxIter": (5,), "maxDepth": (3,)}}
+
+
+@query("q_model_choice", f"""
+WITH p AS ({_PEOPLE_SQL}),
+     n AS (SELECT y, COUNT(*) AS n, CAST(round_even(COUNT(*) * 0.2, 0) AS BIGINT) AS held FROM p WHERE of_age GROUP BY y)
+SELECT CAST(SUM(n - held) AS BIGINT) AS n_train, CAST(SUM(held) AS BIGINT) AS n_holdout, CAST(SUM(CASE WHEN y = 1 THEN held ELSE 0 END) AS BIGINT) AS n_holdout_paid,
+       5 AS n_folds, CAST(SUM((n - held) // 5) AS BIGINT) AS smallest_fold, CAST(SUM((n - held + 4) // 5) AS BIGINT) AS largest_fold,
+       TRUE AS auc_agrees, TRUE AS best_is_chosen, TRUE AS folds_agree, TRUE AS threshold_is_best
+FROM n
+""")
+def model_choice(spark, folder):
+    """Three models searched over five folds, chosen on hold-out rows; areas and threshold counted again from the scores."""
+    choice = train_income(labelled(_people(spark, folder)), ["person"], _GRIDS)
+    scores = choice.scored.select(F.col("probability_1").alias("p"), F.col(LABEL).alias("y"))
+    # ranks of the positives (mean rank among equal scores), over counts per distinct score
+    counts = scores.groupBy("p").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
+    steps = spark.sql("""
+        SELECT p, pos, n, SUM(n) OVER (ORDER BY p) AS upto, SUM(pos) OVER (ORDER BY p DESC) AS hits, SUM(n) OVER (ORDER BY p DESC) AS flagged,
+               SUM(pos) OVER () AS positives, SUM(n) OVER () AS total FROM {counts}
+    """, counts=stage_table(counts, "holdout-scores"))
+    f1 = 2 * F.col("hits") / (F.col("flagged") + F.col("positives"))
+    auc = (F.sum(F.col("pos") * (F.col("upto") - (F.col("n") - 1) / 2)) - F.max("positives") * (F.max("positives") + 1) / 2) / (
+        F.max("positives") * (F.max("total") - F.max("positives")))
+    folds = choice.train_rows.groupBy("fold").count()
+    per_class = choice.train_rows.groupBy("fold", LABEL).count().groupBy(LABEL).agg((F.max("count") - F.min("count")).alias("spread"))
+    held = scores.agg(F.count("*").alias("n_holdout"), F.sum("y").alias("n_holdout_paid"))
+    fitted = folds.agg(F.sum("count").alias("n_train"), F.count("*").cast("int").alias("n_folds"))
+    sizes = choice.train_rows.groupBy(LABEL).count().agg(F.sum(F.floor(F.col("count") / 5)).alias("smallest_fold"), F.sum(F.floor((F.col("count") + 4) / 5)).alias("largest_fold"))
+    measured = steps.agg(
+        (F.abs(auc - choice.holdout_auc[choice.name]) < 1e-9).alias("auc_agrees"),
+        (F.abs(F.max(f1) - F.max(F.when(F.col("p") == choice.threshold, f1))) < 1e-12).alias("threshold_is_best"),
+    )
+    told = F.lit(max(choice.holdout_auc.values()) == choice.holdout_auc[choice.name] and set(choice.holdout_auc) == set(_GRIDS))
+    one_row = fitted.crossJoin(held).crossJoin(sizes).crossJoin(measured).crossJoin(per_class.agg((F.max("spread") <= 1).alias("folds_agree")))
+    return one_row.select("n_train", "n_holdout", "n_holdout_paid", "n_folds", "smallest_fold", "largest_fold", "auc_agrees", told.alias("best_is_chosen"), "folds_agree", "threshold_is_best")

@@ -12,6 +12,7 @@ from claimweft.plans.adapters import (
     CLAIMS_SQL, LEDGER_AMOUNTS, ROLLED_SQL, as_double, claims, iso_dates, ledger, table,
 )
 from claimweft.plans.registry import query
+from claimweft.session import stage_table
 
 
 @query("q_monthly_pay_rate", f"""
@@ -65,21 +66,28 @@ def booking_status(spark, folder):
     return booking.booking_status(claims(spark, folder, *_BOOKING_COLUMNS)).transform(as_double)
 
 
-# every month in which the test claims were entered
-_ENTRY_MONTHS = tuple(f"{year}-{month:02d}" for year in range(1995, 2002) for month in range(1, 13))
-_PERCENTS_SQL = ",\n".join(
-    f"""CASE WHEN COUNT(entry_month) > 0 THEN
-        round_even(COUNT(*) FILTER (WHERE entry_month = '{m}') / COUNT(*) * 100, 1) END AS entry_{m.replace('-', '_')}"""
-    for m in _ENTRY_MONTHS
-)
+@query("q_booking_pivot", f"""
+WITH {_BOOKING_SQL},
+s AS (SELECT pcode, processed_month, {_STATUS_SQL}, COUNT(entry_month) > 0 AS any_entry FROM kept GROUP BY pcode, processed_month),
+m AS (SELECT pcode, processed_month, 'entry_' || replace(k.entry_month, '-', '_') AS entry,
+             round_even(COUNT(*) / any_value(total_claim_count) * 100, 1) AS percent
+      FROM kept k JOIN s USING (pcode, processed_month) WHERE k.entry_month IS NOT NULL GROUP BY ALL),
+p AS (PIVOT m ON entry USING first(percent) GROUP BY pcode, processed_month)
+SELECT s.* EXCLUDE (any_entry), CASE WHEN any_entry THEN COALESCE(COLUMNS('entry_[0-9]+_[0-9]+'), 0) END
+FROM s LEFT JOIN p USING (pcode, processed_month)
+""")
+def booking_pivot(spark, folder):
+    return booking.booking_pivot(claims(spark, folder, *_BOOKING_COLUMNS)).transform(as_double)
 
 
-@query("q_booking_pivot", f"""
+@query("q_booking_completeness", f"""
 WITH {_BOOKING_SQL}
-SELECT pcode, processed_month, {_STATUS_SQL}, {_PERCENTS_SQL} FROM kept GROUP BY pcode, processed_month
+SELECT CAST(COUNT(entry_month) AS BIGINT) AS n_entered, CAST(COUNT(entry_month) AS BIGINT) AS n_shown, TRUE AS complete FROM kept
 """)
-def booking_pivot(spark, folder):
-    return booking.booking_pivot(claims(spark, folder, *_BOOKING_COLUMNS), _ENTRY_MONTHS).transform(as_double)
+def booking_completeness(spark, folder):
+    """Every entered claim is in a month that the pivot has a column for."""
+    cells = stage_table(booking.booking_cells(claims(spark, folder, *_BOOKING_COLUMNS)), "booking-cells")
+    return booking.pivot_completeness(cells, booking.pivot_of_cells(cells, booking.entry_months(cells)))
 
 
 @query("q_summary_month_client", f"""
@@ -104,8 +112,8 @@ SELECT *, total_records / (SELECT SUM(total_records) FROM s) AS percentage FROM
 """)
 def summary_status(spark, folder):
     rows = claims(spark, folder, "claim_id", "total_charge_amt", "savings_amt", "payment_status")
-    report = agg.group_report(rows, ["payment_status"], agg.claim_measures())
-    return agg.with_share_of_all(report, "total_records", "percentage", few_rows=True).transform(as_double)
+    report = stage_table(agg.group_report(rows, ["payment_status"], agg.claim_measures()), "status-report")
+    return agg.with_share_of_all(report, "total_records", "percentage").transform(as_double)
 
 
 @query("q_share_of_client", f"""

@@ -50,6 +50,11 @@ def staged_root(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/staged/{spark.sparkContext.applicationId}"
 
 
+def staged_path(spark: SparkSession, label: str) -> str:
+    """A new place in the folder of staged tables."""
+    return f"{staged_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage_table(df: DataFrame, label: str) -> DataFrame:
     """Write a small derived table to the shared folder and read it back.
 
@@ -59,6 +64,6 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     shuffled before adaptive execution found out that it did not need to be.
     """
     spark = df.sparkSession
-    path = f"{staged_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = staged_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

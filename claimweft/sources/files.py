@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
@@ -35,6 +34,12 @@ def _bound(schema: T.StructType, header: Sequence[str], files: Sequence[str], re
     return T.StructType(out)
 
 
+def headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, header): the first line of every file that has one, found by one job over the files' first blocks."""
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start").withColumn("_at", F.monotonically_increasing_id())
+    return lines.filter("file_block_start = 0").groupBy(F.col("file_path").alias("file")).agg(F.min_by("value", "_at").alias("header"))
+
+
 def read_csv_by_name(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, sep: str = ",", rest_in_order: bool = False
 ) -> DataFrame:
@@ -42,15 +47,12 @@ def read_csv_by_name(
 
     Files may order their columns differently and hold further ones; a file that lacks a column of
     the schema is an error. With ``rest_in_order`` the schema's names that a header lacks go to
-    the header's other columns in their order. The headers are read first, one line a file, and
-    files with the same header are one scan.
+    the header's other columns in their order. The headers are read first, all files in one
+    job, and files with the same header are one scan.
     """
-    listed = [unquote(f) for f in spark.read.text(paths).inputFiles()]
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(listed):
-        line = spark.read.text(file).first()
-        if line is not None:
-            by_header.setdefault(tuple(_name(n) for n in line.value.split(sep)), []).append(file)
+    for row in headers(spark, paths).orderBy("file").collect():
+        by_header.setdefault(tuple(_name(n) for n in row.header.split(sep)), []).append(unquote(row.file))
     parts = [
         spark.read.schema(_bound(schema, header, files, rest_in_order)).option("sep", sep).option("header", True).csv(files).select(*schema.names)
         for header, files in by_header.items()
@@ -155,17 +157,26 @@ def write_per_client(df: DataFrame, path: str, keys: Sequence[str] = ("pcode", "
     _overwriting(df, keys).parquet(path)
 
 
-def file_manifest(rows: DataFrame, expected: DataFrame, client: str = "pcode") -> DataFrame:
-    """Files and rows per expected client; a client without files shows zeros.
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """(file, n_bytes, modified) of all files with content under a folder; only Spark's listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.select(F.col("path").alias("file"), F.col("length").alias("n_bytes"), F.col("modificationTime").alias("modified"))
+
+
+def file_manifest(spark: SparkSession, rows: DataFrame, root: str, expected: DataFrame, client: str = "pcode") -> DataFrame:
+    """(client, n_files, n_bytes, n_rows, state) per expected client of the files under ``root`` that ``rows`` are read from.
 
-    Files are taken from the listing, so one without rows counts as a file: a client with a
-    file and no rows had an empty extract, one without a file is missing.
+    ``state`` is ``missing`` (no file), ``empty`` (files of no bytes), ``header only`` (bytes, but no row: the
+    extract ran and found nothing) or ``ok``. Clients are told by the folders ``<client>=...``.
     """
-    spark = rows.sparkSession
-    # the listing's addresses are encoded, and so are folder names with special characters
-    folders = [re.search(rf"/{client}=([^/]+)/", unquote(f)) for f in rows.inputFiles()]
-    listed = spark.createDataFrame([(unquote(m[1]),) for m in folders if m], f"`{client}` string")
-    files = listed.groupBy(client).agg(F.count("*").alias("n_files"))
-    counts = rows.groupBy(client).agg(F.count("*").alias("n_rows"))
-    wanted = expected.select(client).distinct()
-    return wanted.join(files, client, "left").join(counts, client, "left").fillna(0, ["n_files", "n_rows"])
+    folder = F.url_decode(F.replace(F.regexp_extract("file", rf"/{client}=([^/]+)/", 1), F.lit("+"), F.lit("%2B")))
+    # files without bytes are in the index of the rows' files only, whose addresses are encoded once more
+    known = spark.createDataFrame([(unquote(f), 0) for f in rows.inputFiles()], "file string, n_bytes long").withColumn("n", F.lit(1))
+    sized = listing(spark, root).select("file", "n_bytes", F.lit(0).alias("n"))
+    found = known.unionByName(sized).withColumn(client, folder).filter(F.col(client) != "")
+    files = found.groupBy(client).agg(F.sum("n").alias("n_files"), F.sum("n_bytes").alias("n_bytes"))
+    counts = rows.groupBy(F.col(client).cast("string").alias(client)).agg(F.count("*").alias("n_rows"))
+    wanted = expected.select(F.col(client).cast("string").alias(client)).distinct()
+    whole = wanted.join(files, client, "left").join(counts, client, "left").fillna(0, ["n_files", "n_bytes", "n_rows"])
+    state = F.when(F.col("n_files") == 0, "missing").when(F.col("n_bytes") == 0, "empty").when(F.col("n_rows") == 0, "header only").otherwise("ok")
+    return whole.withColumn("state", state)

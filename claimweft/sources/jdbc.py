@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping, Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +73,49 @@ def month_predicates(column: str, months: Sequence[str]) -> list[str]:
     return [*out, f"({column} IS NULL OR NOT ({inside}))"]
 
 
+def day_histogram_query(query: str, column: str) -> str:
+    """Rows per day of a query's date column, for the database to count: one row a day, one for rows without a date."""
+    return f"SELECT TRUNC({column}) AS DAY, COUNT(*) AS N FROM ({query.strip().rstrip(';')}) Q GROUP BY TRUNC({column})"
+
+
+def balanced_predicates(column: str, days: Sequence[tuple[date | None, int]], tasks: int, key: str | None = None) -> list[str]:
+    """Predicates of about equal rows from a histogram of days, in any order; together they cover every row once.
+
+    Neighbouring days go together up to a task's share. A day of more rows than two shares is divided
+    by the hash of ``key``, where there is one. The last predicate takes rows without a date and, so that rows
+    which arrive after the count are not lost, those outside the days counted.
+    """
+    counted = sorted((day, n) for day, n in days if day is not None)
+    if not counted:
+        return ["1 = 1"]
+    share = max(1.0, sum(n for _, n in counted) / max(1, tasks))
+    windows: list[list[tuple[date, int]]] = []
+    filled = 0.0
+    for day, n in counted:
+        heavy = n >= 2 * share
+        if not windows or heavy or filled + n / 2 > share:
+            windows.append([])
+            filled = 0.0
+        windows[-1].append((day, n))
+        filled = share if heavy else filled + n
+    out = []
+    starts = [w[0][0] for w in windows]
+    ends = [*starts[1:], counted[-1][0] + timedelta(days=1)]
+    for window, start, end in zip(windows, starts, ends, strict=True):
+        inside = f"{column} >= DATE '{start}' AND {column} < DATE '{end}'"
+        pieces = round(sum(n for _, n in window) / share) if key else 1
+        # the hash of an empty key is no number, so such rows go with the first piece
+        out += [inside] if pieces < 2 else [f"{inside} AND NVL(ORA_HASH({key}, {pieces - 1}), 0) = {i}" for i in range(pieces)]
+    return [*out, f"({column} IS NULL OR {column} < DATE '{starts[0]}' OR {column} >= DATE '{ends[-1]}')"]
+
+
+def balanced_load(spark: SparkSession, query: str, options: Mapping[str, str], column: str, tasks: int, key: str | None = None) -> DataFrame:
+    """The query in about ``tasks`` reads of equal size; the database counts its days first."""
+    days = load(spark, day_histogram_query(query, column), options, is_query=True).collect()
+    predicates = balanced_predicates(column, [(r[0].date() if isinstance(r[0], datetime) else r[0], int(r[1])) for r in days], tasks, key)
+    return load(spark, query, options, is_query=True, predicates=predicates)
+
+
 def run_extract(spark: SparkSession, text: str, params: Mapping[str, object], **tables: DataFrame) -> DataFrame:
     """SQL with named parameters (``:name``) over data frames (``{name}``); values are never spliced into the text."""
     return spark.sql(text, args=dict(params), **tables)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from claimweft.models import factors, scoring, training
@@ -12,6 +13,7 @@ from claimweft.operators import metrics
 from claimweft.plans import income_model, monthly_reports, payment_model
 from claimweft.plans.adapters import LEDGER_AMOUNTS, claims, ledger, model_claims
 from claimweft.plans.worklists import WORKLIST_COLUMNS, unpaid_worklist
+from claimweft.session import stage_table
 
 
 def people(spark, n=600):
@@ -30,9 +32,11 @@ def test_income_training_and_scoring(spark, tmp_path):
     rows = income_model.labelled(people(spark))
     assert rows.filter("AGEP < 16").count() == 0 and "ST" not in rows.columns
     grids = {"logreg": {"C": (0.1, 10)}, "gbt": {"maxIter": (5,), "maxDepth": (3,)}}
-    name, model, threshold, aucs = income_model.train(
+    name, model, threshold, aucs, fold_aucs, fit_rows, scored = income_model.train(
         rows, ["id"], grids, k=3, categorical=["SCHL", "SEX", "COW"], numeric=["AGEP", "WKHP"]
     )
+    assert {n: len(a) for n, a in fold_aucs.items()} == {"logreg": 2, "gbt": 1} and min(map(min, fold_aucs.values())) > 0.7
+    assert fit_rows.count() + scored.count() == rows.count()
     assert name in aucs and aucs[name] == max(aucs.values()) > 0.8 and 0 < threshold < 1
     model.write().overwrite().save(str(tmp_path / "model"))
     loaded = PipelineModel.load(str(tmp_path / "model"))
@@ -63,16 +67,25 @@ def test_tree_leaves_and_importances(spark, sf_dir):
     assert per_leaf.count() == 0
     assert labelled.filter("abs(prob_paid + prob_unpaid - 1) > 1e-9").count() == 0
     top = training.feature_importances(model, rows, 1).collect()
-    assert top[0].feature == "numbers_fee_in" and top[0].importance > 0.9
+    assert top[0].feature == "fee_in" and top[0].importance > 0.9
     auc = metrics.roc_auc(labelled, "prob_paid", "target").first().auc
     ml = BinaryClassificationEvaluator(rawPredictionCol="prob_paid", labelCol="target", numBins=0)
     assert auc == pytest.approx(ml.evaluate(labelled), abs=1e-9)
 
 
-def test_one_hot_refuses_wide_columns(spark):
-    rows = spark.range(3000).select(F.col("id").cast("string").alias("name"), F.lit(1).alias("target"))
-    with pytest.raises(ValueError, match="name"):
-        training.fit_tree(rows, [], ["name"])
+def test_tree_over_a_column_of_many_values(spark, tmp_path):
+    """3,000 categories: no list in the driver, unknown ones fall to their own index, and saving keeps the table."""
+    rows = spark.range(6000).selectExpr("id", "cast(id % 3000 as string) as name", "cast(id % 3000 < 1000 as int) as target", "cast(null as double) as empty")
+    model = training.fit_tree(rows, ["empty"], ["name"])
+    assert model.stages[1].getOrDefault("sizes") == [3000] and model.stages[-1].getMaxBins() == 3001
+    labelled = training.label_leaves(model, rows, ["id", "target"])
+    assert labelled.count() == 6000 and labelled.filter("abs(prob_paid - target) > 1e-9").count() == 0
+    model.save(str(tmp_path / "tree"))
+    loaded = PipelineModel.load(str(tmp_path / "tree"))
+    again = training.label_leaves(loaded, rows, ["id", "target"])
+    assert again.exceptAll(labelled).count() == 0
+    strange = spark.createDataFrame([(1, "nobody", 0, None), (2, None, 0, 1.0)], "id long, name string, target int, empty double")
+    assert training.label_leaves(loaded, strange, ["id"]).count() == 2
 
 
 def test_factor_table(spark):
@@ -149,6 +162,60 @@ def test_monthly_reports(spark, tmp_path):
     assert monthly_reports.export_form(cleaned).filter("entry_dt is null").count() == 1
 
 
+def test_all_reports_from_one_scan(spark, sf_dir, tmp_path):
+    """Five outputs; the claims' rows are counted as they are read, and each report equals the one made from the claims."""
+    from claimweft.operators import booking, revenue
+
+    names = ["claim_id", "pcode", "client_cd", "network_cd", "payment_status", "processed_dt", "entry_dt", "savings_amt", "total_charge_amt", "fee_amount"]
+    base = stage_table(claims(spark, sf_dir, *names).withColumn("received_dt", F.col("processed_dt")).withColumn("provider_zip_code", F.lit("2139.0")), "base")
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    counted = base.mapInArrow(counting, base.schema)
+    rates = base.select(F.col("pcode").alias("parent_client")).distinct().withColumns({"min_rate": F.lit(0.1), "avg_rate": F.lit(0.2)})
+    paths = monthly_reports.write_reports(counted, str(tmp_path), "2025-01-09", rates, "1995-06-30")
+    assert read.value == base.count() and len(paths) == 5
+    month = base.withColumn("processed_month", F.date_format("processed_dt", "yyyy-MM"))
+    wanted = {
+        "booking_curve": booking.booking_long(base), "booking_status": booking.booking_status(base), "summary_stats": monthly_reports.summary(base),
+        "rate_revenue": revenue.revenue_by_rate_dim(month, rates),
+        "worklist": unpaid_worklist(base, "1995-06-30", ["pcode", "claim_id", "received_dt", "total_charge_amt", "savings_amt", "provider_zip_code", "payment_status"]),
+    }
+    for name, want in wanted.items():
+        got = spark.read.parquet(paths[name]).drop("pull_date").transform(lambda df: df.toDF(*[c.lower() for c in df.columns]))
+        want = want.toDF(*[c.lower() for c in want.columns])
+        shared = [c for c in want.columns if c != "zip3"]
+        assert set(shared) <= set(got.columns)
+        text = lambda df: sorted(tuple(f"{x:.9g}" if isinstance(x, float) else str(x) for x in r) for r in df.select(shared).collect())
+        assert text(got) == text(want.select(shared)), name
+
+
+def test_quality_counts_come_with_the_write(spark, tmp_path):
+    raw = raw_claims(spark).withColumn("processed_dt", F.when(F.col("claim_id") == "5", "31/31/2024").otherwise(F.col("processed_dt")))
+    quality = Observation("quality")
+    typed = monthly_reports.typed_extract(raw, ["processed_dt", "entry_dt"], ["savings_amt", "total_charge_amt", "fee_amount"], quality)
+    typed.write.parquet(str(tmp_path / "typed"))
+    assert quality.get == {"n_rows": 5, "unparsed_processed_dt": 1, "unparsed_entry_dt": 0, "unparsed_savings_amt": 1, "unparsed_total_charge_amt": 0, "unparsed_fee_amount": 0}
+
+
+def test_pivot_takes_the_months_of_the_data(spark):
+    from claimweft.operators import booking
+
+    data = [("P", "1989-12-05", "1990-01-02", "PAID", "1", 1.0), ("P", "1989-12-06", "2031-07-01", "PAID", "2", 1.0), ("P", "1990-01-06", None, "UNPAID", "3", 1.0)]
+    df = spark.createDataFrame(data, "pcode string, p string, e string, payment_status string, claim_id string, savings_amt double").selectExpr(
+        "*", "to_date(p) as processed_dt", "to_date(e) as entry_dt")
+    wide = booking.booking_pivot(df)
+    assert [c for c in wide.columns if c.startswith("entry_")] == ["entry_1990_01", "entry_2031_07"]
+    cells = booking.booking_cells(df)
+    assert booking.pivot_completeness(cells, wide).first().complete
+    partial = booking.pivot_completeness(cells, booking.booking_pivot(df, ["1990-01"])).first()
+    assert (partial.n_entered, partial.n_shown, partial.complete) == (2, 1, False)
+
+
 def test_worklist_has_all_columns(spark):
     raw = spark.createDataFrame([tuple("x" for _ in WORKLIST_COLUMNS)], ", ".join(f"{c} string" for c in WORKLIST_COLUMNS)).drop("ZIP3")
     raw = raw.withColumns({

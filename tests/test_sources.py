@@ -2,13 +2,15 @@
 
 import bz2
 import os
+import re
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimweft.session import scratch_dir, stage_table
-from claimweft.sources import files, jdbc
+from claimweft.sources import files, jdbc, publish
 
 
 @pytest.fixture
@@ -62,7 +64,7 @@ def test_manifest_lists_missing_clients(spark, folder):
     files.write_per_client(df.withColumn("pull_date", F.lit("2025-01-09")), f"{folder}/t")
     assert os.path.isdir(f"{folder}/t/pcode=A/pull_date=2025-01-09")
     expected = spark.createDataFrame([("A",), ("B",), ("C",)], "pcode string")
-    got = {r.pcode: r.n_rows for r in files.file_manifest(files.read_parquet(spark, f"{folder}/t"), expected).collect()}
+    got = {r.pcode: r.n_rows for r in files.file_manifest(spark, files.read_parquet(spark, f"{folder}/t"), f"{folder}/t", expected).collect()}
     assert got == {"A": 2, "B": 1, "C": 0}
 
 
@@ -90,12 +92,84 @@ def test_columns_are_bound_by_name(spark, folder):
 
 
 def test_manifest_tells_empty_from_missing(spark, folder):
-    df = spark.createDataFrame([("A", 1)], "pcode string, n int")
-    df.select("n").write.parquet(f"{folder}/t/pcode=A")
-    df.select("n").filter("n > 1").coalesce(1).write.parquet(f"{folder}/t/pcode=B")
-    expected = spark.createDataFrame([("A",), ("B",), ("C",)], "pcode string")
-    got = {r.pcode: (r.n_files, r.n_rows) for r in files.file_manifest(spark.read.parquet(f"{folder}/t"), expected).collect()}
-    assert got["A"][1] == 1 and got["B"] == (1, 0) and got["C"] == (0, 0)
+    for client, text in (("A", "n|v\n1|x\n2|y\n"), ("B", "n|v\n"), ("C", ""), ("D+E%20F", "n|v\n1|x\n")):
+        os.makedirs(f"{folder}/t/pcode={client}")
+        with open(f"{folder}/t/pcode={client}/out.csv", "w") as f:
+            f.write(text)
+    rows = spark.read.option("header", True).option("sep", "|").schema("n int, v string").csv(f"{folder}/t")
+    expected = spark.createDataFrame([("A",), ("B",), ("C",), ("D+E F",), ("G",)], "pcode string")
+    got = {r.pcode: (r.n_files, r.n_bytes, r.n_rows, r.state) for r in files.file_manifest(spark, rows, f"{folder}/t", expected).collect()}
+    assert got == {"A": (1, 12, 2, "ok"), "B": (1, 4, 0, "header only"), "C": (1, 0, 0, "empty"), "D+E F": (1, 8, 1, "ok"), "G": (0, 0, 0, "missing")}
+
+
+def test_headers_of_many_files_are_one_job(spark, folder):
+    os.makedirs(f"{folder}/in")
+    for i in range(200):
+        with open(f"{folder}/in/f {i}.csv", "w") as f:
+            f.write(("a|b\n" if i % 2 else "b|extra|a\n") + (f"{i}|x\n" if i % 2 else f"x|e|{i}\n") * 3)
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "headers")
+    try:
+        found = {r.header for r in files.headers(spark, f"{folder}/in").collect()}
+        jobs = len(sc.statusTracker().getJobIdsForGroup("headers"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {"a|b", "b|extra|a"} and jobs <= 2  # adaptive execution runs the shuffle as a job of its own
+    got = files.read_pipe_csv(spark, f"{folder}/in", files.text_schema(["a", "b"]))
+    assert got.count() == 600 and {r.b for r in got.select("b").distinct().collect()} == {"x"}
+    assert got.select("a").distinct().count() == 200
+
+
+def test_published_versions(spark, folder, monkeypatch):
+    root = f"{folder}/table"
+    with pytest.raises(ValueError, match="nothing"):
+        publish.read_published(spark, root)
+    assert publish.publish(spark.range(3), root) == 1
+    assert publish.publish(spark.range(5).withColumn("p", F.col("id") % 2), root, ["p"]) == 2
+    assert publish.read_published(spark, root).count() == 5 and publish.read_published(spark, root, 1).count() == 3
+    assert [(r.version, r.n_rows) for r in publish.publish_log(spark, root).orderBy("version").collect()] == [(1, 3), (2, 5)]
+    # a write that breaks off
+    broken = spark.range(4).select(F.when(F.col("id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        publish.publish(broken, root)
+    assert publish.read_published(spark, root).count() == 5
+    # killed between the two steps
+    monkeypatch.setattr(publish, "announce", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        publish.publish(spark.range(9), root)
+    assert publish.read_published(spark, root).count() == 5
+
+
+def test_predicates_of_equal_rows(spark):
+    start = date(2024, 1, 1)
+    days = [(start + timedelta(days=i), 10 + 1000 * (i == 40) + 300 * (i in (7, 8))) for i in range(100)] + [(None, 50)]
+    rows = [(d, i) for d, n in days for i in range(n)] + [(date(2030, 1, 1), 1), (date(2000, 1, 1), 2)]
+    df = spark.createDataFrame(rows, "d date, k long").cache()
+    predicates = jdbc.balanced_predicates("d", days[::-1], 8)
+    counts = [df.filter(p).count() for p in predicates]
+    assert sum(counts) == len(rows) and counts[-1] == 52
+    share = sum(n for d, n in days if d) / 8
+    assert 1010 in counts and all(n <= 1.5 * share for n in counts[:-1] if n != 1010) and len(counts) <= 12
+    split = jdbc.balanced_predicates("d", days, 8, "k")
+    # the hash that the database has, as Spark writes it
+    spark_form = [re.sub(r"NVL\(ORA_HASH\(k, (\d+)\), 0\)", lambda m: f"pmod(coalesce(hash(k), 0), {int(m[1]) + 1})", p) for p in split]
+    counts = [df.filter(p).count() for p in spark_form]
+    assert sum(counts) == len(rows) and max(counts) <= 1.5 * share
+    assert jdbc.balanced_predicates("d", [(None, 3)], 4) == ["1 = 1"]
+    df.unpersist()
+
+
+def test_balanced_load_counts_days_first(monkeypatch):
+    calls = []
+
+    class Counted:
+        def collect(self):
+            return [(datetime(2024, 1, d), 10) for d in range(1, 9)] + [(None, 2)]
+
+    monkeypatch.setattr(jdbc, "load", lambda spark, query, options, is_query=False, predicates=None: calls.append((query, predicates)) or Counted())
+    jdbc.balanced_load(None, "SELECT * FROM C;", {}, "D", 4)
+    assert calls[0] == ("SELECT TRUNC(D) AS DAY, COUNT(*) AS N FROM (SELECT * FROM C) Q GROUP BY TRUNC(D)", None)
+    assert calls[1][0] == "SELECT * FROM C;" and len(calls[1][1]) == 5 and calls[1][1][-1].startswith("(D IS NULL")
 
 
 def test_model_table_keeps_other_pulls(spark, folder):
