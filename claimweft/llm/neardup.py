@@ -6,11 +6,18 @@ Jaccard similarity of their multisets, sum(min) / sum(max), is 0.8 or more; a cl
 connect. Texts with equal words are one node from the start, so copies are never paired.
 
 Candidates share one of the signature's 50 bands of 8 (two documents at 0.8 do with a probability of
-0.9999, while documents that have a third of their words in common do with 0.007). First, every document of a bucket meets the bucket's leader, which collapses a group of
-near copies with one pair a document. What is left are buckets whose documents are in different
-classes so far. There the documents outside the bucket's largest class become leaders in turn, more
-each time, until any two documents of the bucket have been compared or belong to one class.
-Nothing ever lists all pairs of a group of copies, and no bucket is gathered in one task.
+0.9999, while documents that have a third of their words in common do with 0.007). Every document of
+a bucket meets the bucket's leader, which collapses a group of near copies with one pair a document.
+
+Documents of the buckets that are still divided among several classes are then searched without
+loss by their rarest runs. Two documents of x and y runs are linked only if they share 4 / 9 (x + y) of
+them; so, with all runs in one order, rarest first, they share one of the first x - 4 / 9 (x + y) + 1 runs
+of the first document and of as many of the second. Sizes are dealt into narrow classes, and
+documents meet under (class, class, run), classes 4 : 5 or more apart never. A passage common to many
+documents is among these runs only where it alone nearly makes them copies, which the leaders have
+collapsed. Under each such key the documents outside its largest class are compared with all others, in
+cells of at most about CELL by CELL documents dealt out by a hash, which return only links. So no
+bucket or key is gathered in one task, and pairs are never listed.
 
 Null texts have no class but themselves. Texts without words are copies only of equal texts.
 Repeated rows are copies. A class is named by its smallest doc_id. An empty table gives an empty
@@ -34,8 +41,12 @@ from claimweft.llm.minhash import band_keys, signatures
 RUN = 5
 #: Similarity as a fraction, compared in whole numbers.
 SIMILAR = (4, 5)
-#: Leaders of a bucket in the second step; twice as many in each further one.
-LEADERS = 16
+#: Documents on either side of a cell.
+CELL = 256
+#: Side of documents that meet all others under a key of one size class.
+BOTH = 2
+#: Sizes up to this are told apart, larger ones to one part in as many.
+FINE = 64
 _CHARS = 1 << 20
 
 
@@ -160,7 +171,10 @@ class _Linker:
         )
         failed = checked.filter("not linked").select("a", "b")
         self.failed = failed if self.failed is None else self.failed.unionByName(failed)
-        links = checked.filter("linked").select("a", "b")
+        self.join_parts(checked.filter("linked").select("a", "b"))
+
+    def join_parts(self, links: DataFrame) -> None:
+        """The parts of linked nodes (a, b) become one."""
         if links.isEmpty():
             return
         if self.parts is None:
@@ -173,39 +187,170 @@ class _Linker:
 
 
 def _divided(members: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """(bucket, node, minor): members of buckets with several parts.
+    """``members`` (bucket, node, ...) of buckets with several parts, with node_part, minor, all and minors.
 
-    ``minor`` says whether a node is outside its bucket's largest part.
+    ``minor`` says whether a node is outside its bucket's largest part, ``minors`` how many are, of ``all``.
     """
     rows = _with_parts(members, parts, "node")
     sizes = rows.groupBy("bucket", "node_part").agg(F.count("*").alias("n"))
     tops = sizes.groupBy("bucket").agg(F.max(F.struct("n", "node_part")).alias("top"), F.sum("n").alias("all"))
-    tops = tops.filter(F.col("all") > F.col("top.n")).select("bucket", F.col("top.node_part").alias("main"))
-    return rows.join(tops, "bucket").select("bucket", "node", (F.col("node_part") != F.col("main")).alias("minor"))
+    tops = tops.filter(F.col("all") > F.col("top.n")).select("bucket", F.col("top.node_part").alias("main"), "all", (F.col("all") - F.col("top.n")).alias("minors"))
+    return rows.join(tops, "bucket").withColumn("minor", F.col("node_part") != F.col("main")).drop("main")
 
 
-def _link(members: DataFrame, linker: _Linker) -> None:
-    """Settle all pairs of ``members`` (bucket, node); buckets of one node are left out before."""
-    leaders = members.groupBy("bucket").agg(F.min("node").alias("a"))
-    met = members.join(leaders, "bucket").filter("a < node").groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("shared"))
-    pairs = linker.candidates(met)
+def _meet_leaders(members: DataFrame, linker: _Linker) -> None:
+    """Compare every member (bucket, node) with its buckets' leaders.
+
+    A bucket's leader is its node with most companions over all its buckets: of a group of near copies
+    that were each changed elsewhere, it is the one that the others are like.
+    """
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
+    degrees = members.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("degree"))
+    ranked = stage_table(members.join(degrees, "node"), "degrees")
+    leaders = ranked.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"))).alias("top"))
+    leaders = leaders.select("bucket", (-F.col("top.minus")).alias("leader"))
+    met = ranked.join(leaders, "bucket").filter("leader <> node").groupBy("leader", "node").agg(F.count("*").alias("shared"))
+    met = stage_table(_with_parts(met, linker.parts, "leader", "node").filter("leader_part <> node_part").select("leader", "node", "shared"), "met")
+    pair = [F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")]
     # at first each document meets only the leader it shares most buckets with
-    best = Window.partitionBy("b").orderBy(F.desc("shared"), "a")
-    linker.compare(stage_table(pairs.withColumn("nth", F.row_number().over(best)).filter("nth = 1").select("a", "b"), "best"))
-    linker.compare(linker.candidates(met))
-    rest = members.join(leaders, "bucket").filter("a < node").select("bucket", "node")
-    count = LEADERS
-    while True:
-        divided = _divided(rest, linker.parts)
-        order = Window.partitionBy("bucket").orderBy("node")
-        minor = divided.filter("minor").withColumn("nth", F.row_number().over(order))
-        ranked = stage_table(minor.unionByName(divided.filter("not minor").withColumn("nth", F.lit(1 << 30))).drop("minor"), "ranked")
-        if ranked.isEmpty():
-            break
-        leaders = ranked.filter(F.col("nth") <= count).select("bucket", F.col("node").alias("x"), F.col("nth").alias("before"))
-        met = ranked.join(leaders, "bucket").filter("before < nth").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        linker.compare(linker.candidates(met))
-        rest, count = ranked.filter(F.col("nth") > count).select("bucket", "node"), 2 * count
+    best = Window.partitionBy("node").orderBy(F.desc("shared"), "leader")
+    first = met.withColumn("nth", F.row_number().over(best)).filter("nth = 1")
+    linker.compare(linker.candidates(first.select(*pair).distinct()))
+    linker.compare(linker.candidates(met.select(*pair).distinct()))
+
+
+def _elements(runs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The multiset's elements: a repeated run is several, told apart by a number."""
+    nth = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    return grams.mix(np.repeat(runs, counts) ^ grams.mix(nth.astype(np.uint64)))
+
+
+def _linked_in_cell(minors: list[dict], others: list[dict]) -> set[tuple[int, int]]:
+    """(minor, part of another) wherever the two are similar enough, on the two sides of a key."""
+    sets = [np.frombuffer(o["elements"], np.uint64) for o in others]
+    size = np.array([len(s) for s in sets])
+    everything = np.concatenate(sets)
+    order = np.argsort(everything, kind="stable")
+    everything, owner = everything[order], np.repeat(np.arange(len(sets)), size)[order]
+    part, side = np.array([o["node_part"] for o in others]), np.array([o["side"] for o in others])
+    found = set()
+    for m in minors:
+        own = np.frombuffer(m["elements"], np.uint64)
+        first, last = np.searchsorted(everything, own, "left"), np.searchsorted(everything, own, "right")
+        at = np.arange(int((last - first).sum())) + np.repeat(first - (np.cumsum(last - first) - (last - first)), last - first)
+        common = np.bincount(owner[at], minlength=len(sets))
+        near = common * SIMILAR[1] >= (size + len(own) - common) * SIMILAR[0]
+        near &= (part != m["node_part"]) & ((side == BOTH) | (side != m["side"]))
+        found.update((m["node"], p) for p in np.unique(part[near]).tolist())
+    return found
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the cells (bucket, i, j) in a sorted stream of rows; minors come before the others."""
+
+    def links(rows: list[dict]) -> pa.RecordBatch:
+        minors = [r for r in rows if r["role"] == 0]
+        found = sorted(_linked_in_cell(minors, rows[len(minors) :])) if 0 < len(minors) < len(rows) else []
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    cell, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            key = (row["bucket"], row["i"], row["j"])
+            if key != cell:
+                yield links(rows)
+                cell, rows = key, []
+            rows.append(row)
+    yield links(rows)
+
+
+def _meet_all(keys: DataFrame, sets: DataFrame, linker: _Linker) -> None:
+    """Settle all pairs of ``keys`` (bucket, node, side): of one part, or compared by ``sets`` (node, elements)."""
+    open_keys = stage_table(_divided(keys, linker.parts), "open-keys")
+    minor_cells, all_cells = (F.ceil(F.col(c) / CELL).cast("int") for c in ("minors", "all"))
+    cell = F.xxhash64("node", F.lit("cell"))
+    columns = ["bucket", "node", "node_part", "side"]
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = open_keys.filter("minor").select(*columns, F.lit(0).alias("role"), F.pmod(cell, minor_cells).cast("int").alias("i"), every(all_cells).alias("j"))
+    right = open_keys.select(*columns, F.lit(1).alias("role"), F.pmod(cell, all_cells).cast("int").alias("j"), every(minor_cells).alias("i"))
+    rows = left.unionByName(right).join(sets, "node")
+    dealt = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "role")
+    linker.join_parts(stage_table(dealt.mapInArrow(_cells, "a long, b long"), "cell-links"))
+
+
+def size_class(n: np.ndarray) -> np.ndarray:
+    """Classes of sizes: each of its own up to FINE, then neighbours within a part in FINE."""
+    n = np.asarray(n, np.int64)
+    return np.where(n <= FINE, n, FINE + np.floor(np.log(np.maximum(n, FINE) / FINE) / np.log1p(1 / FINE) + 1e-9)).astype(np.int64)
+
+
+def least_size(k: np.ndarray) -> np.ndarray:
+    """A size that none of class ``k`` is below."""
+    k = np.asarray(k, np.int64)
+    return np.where(k <= FINE, k, np.floor(FINE * (1 + 1 / FINE) ** (k - FINE) - 1e-6)).astype(np.int64)
+
+
+def rare_keys(elements: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, sides): hashes of two size classes and an element, under which a multiset meets any that may be linked to it.
+
+    ``elements`` stand in the common order. Under a key of two classes only documents of different sides meet.
+    """
+    low, high = SIMILAR
+    total = len(elements)
+    own = int(size_class(total))
+    classes = np.arange(int(size_class(-(-total * low // high))), int(size_class(total * high // low)) + 1)
+    common = -(-low * (total + least_size(classes)) // (low + high))
+    prefix = np.clip(total - common + 1, 0, total)
+    pair = np.minimum(classes, own).astype(np.uint64) << np.uint64(32) | np.maximum(classes, own).astype(np.uint64)
+    keys = [grams.mix(elements[:p] ^ c) for p, c in zip(prefix.tolist(), grams.mix(pair), strict=True)]
+    side = np.where(classes == own, BOTH, np.where(classes > own, 0, 1))
+    return np.concatenate(keys).view(np.int64), np.repeat(side, prefix)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [_multiset(t) for t in batch.column(1).to_pylist()]
+        columns = [pa.array([x.view(np.int64).tolist() for x, _ in sets], pa.list_(pa.int64())), pa.array([n.tolist() for _, n in sets], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["node", "runs", "counts"])
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        elements, keys, sides = [], [], []
+        for rows in batch.column(1).to_pylist():
+            ordered = sorted((r["df"], r["run"], r["n"]) for r in rows)
+            own = _elements(np.array([r[1] for r in ordered], np.int64).view(np.uint64), np.array([r[2] for r in ordered], np.int64))
+            key, side = rare_keys(own)
+            elements.append(own.tobytes())
+            keys.append(key.tolist())
+            sides.append(side.tolist())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(elements, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sides, pa.list_(pa.int32()))],
+            ["node", "elements", "keys", "sides"],
+        )
+
+
+def by_rare_runs(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bucket, node, side): keys under which any two of ``texts`` (node, text) that may be linked meet; (node, elements)."""
+    sets = stage_table(texts.mapInArrow(_runs, "node long, runs array<long>, counts array<long>"), "runs")
+    each = sets.select("node", F.explode(F.arrays_zip("runs", "counts")).alias("x")).select("node", F.col("x.runs").alias("run"), F.col("x.counts").alias("n"))
+    counted = each.join(each.groupBy("run").agg(F.count("*").alias("df")), "run")
+    rows = counted.groupBy("node").agg(F.collect_list(F.struct("df", "run", "n")).alias("rows"))  # as long as the text
+    keyed = stage_table(rows.mapInArrow(_keys, "node long, elements binary, keys array<long>, sides array<int>"), "rare-keys")
+    keys = keyed.select("node", F.explode(F.arrays_zip("keys", "sides")).alias("x")).select(F.col("x.keys").alias("bucket"), "node", F.col("x.sides").alias("side"))
+    met = keys.groupBy("bucket").agg(F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high"))
+    met = met.filter(F.col("n") > 1).filter((F.col("low") < F.col("high")) | (F.col("low") == BOTH)).select("bucket")
+    return stage_table(keys.join(met, "bucket"), "met-keys"), keyed.select("node", "elements")
+
+
+def _link(members: DataFrame, linker: _Linker) -> None:
+    """Settle all pairs of ``members`` (bucket, node) that can be linked."""
+    _meet_leaders(members, linker)
+    open_nodes = stage_table(_divided(members, linker.parts).select("node").distinct(), "open")
+    if open_nodes.isEmpty():
+        return
+    keys, sets = by_rare_runs(linker.texts.join(open_nodes, "node", "left_semi"))
+    _meet_all(keys, sets, linker)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

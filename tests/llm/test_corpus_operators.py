@@ -285,6 +285,55 @@ def test_chains_hot_groups_and_shared_passages(spark):
     assert all(got[d] == d for d, t in rows if t is None)
 
 
+def test_linked_multisets_share_a_rare_key():
+    """Any order of the runs will do, as long as it is one for all."""
+    rng = np.random.default_rng(8)
+    met = 0
+    for _ in range(600):
+        n = int(rng.integers(1, 400))
+        runs = rng.choice(5000, n, replace=False)
+        a = dict(zip(runs.tolist(), rng.integers(1, 4, n).tolist(), strict=True))
+        b = dict(a)
+        for r in rng.choice(runs, int(rng.integers(0, 1 + n // 7)), replace=False).tolist():
+            b.pop(r, None)
+            if rng.random() < 0.7:
+                b[int(rng.integers(5000, 9000))] = 1
+        if not b:
+            continue
+        sets = [(np.array(sorted(x), np.uint64), np.array([x[r] for r in sorted(x)])) for x in (a, b)]
+        low, high = neardup.overlap(*sets)
+        if 5 * low < 4 * high:
+            continue
+        met += 1
+        (k1, s1), (k2, s2) = (neardup.rare_keys(neardup._elements(*x)) for x in sets)
+        sides = {(x, y) for k, x in zip(k1.tolist(), s1.tolist(), strict=True) for j, y in zip(k2.tolist(), s2.tolist(), strict=True) if k == j}
+        assert any(x != y or x == neardup.BOTH for x, y in sides)
+    assert met > 200
+
+
+def test_passage_shared_by_many_short_texts(spark, monkeypatch):
+    """2,000 texts that share a passage, and copies of one text changed here and there, are not paired with each other."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    passage, base = [word() for _ in range(60)], [word() for _ in range(150)]
+    texts = [" ".join(passage + [word() for _ in range(rnd.randint(14, 30))]) for _ in range(2000)]
+    for _ in range(300):
+        w = list(base)
+        for i in rnd.sample(range(150), rnd.randint(0, 5)):
+            w[i] = word()
+        texts.append(" ".join(w))
+    pairs = []
+    compare = neardup._Linker.compare
+    monkeypatch.setattr(neardup._Linker, "compare", lambda self, rows: (pairs.append(rows.count()), compare(self, rows)))
+    monkeypatch.setattr(neardup, "CELL", 16)  # many cells
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()}
+    assert sum(pairs) < 4 * len(texts)
+    want = brute_classes([(d, t) for d, t in enumerate(texts) if d >= 2000])
+    assert {d: c for d, c in got.items() if d >= 2000} == want and len(set(want.values())) > 1
+    assert all(got[d] == d for d in range(2000))
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(1)
     error = []
