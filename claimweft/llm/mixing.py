@@ -37,6 +37,8 @@ CAP = 3
 #: Words of a block; slots of an output shard.
 BLOCK_WORDS, SHARD_SLOTS = 32, 4096
 SEED = 7
+#: Slots that a task makes.
+TASK_SLOTS = 1 << 18
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -144,6 +146,8 @@ def mixed_slots(sources: DataFrame, found: Sequence[tuple[str | None, int, float
     counts = spark.range(shards).mapInArrow(draw, "out_shard long, source_no int, count long")
     earlier = Window.partitionBy("source_no").orderBy("out_shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("first", F.coalesce(F.sum("count").over(earlier), F.lit(0))).filter("count > 0")
+    # counts are few, the slots that each task makes of them are not
+    counts = counts.repartition(max(1, -(-n_slots // TASK_SLOTS)), "source_no", "out_shard")
     blocks = sources.select("source_no", F.ceil(F.col("source_size") / F.lit(block_words)).cast("long").alias("blocks"))
     slots = counts.join(F.broadcast(blocks), "source_no").withColumn(
         "slot", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1))

@@ -100,12 +100,12 @@ def best_in_cell(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0, int),) * 3
 
 
-def _cell(rows: pa.Table) -> pa.Table:
+def _cell(rows: pa.Table, k: int) -> pa.Table:
     asks = rows.column("asks").to_numpy().astype(bool)
     width = max(1, pa.compute.max(pa.compute.list_value_length(rows.column("vec"))).as_py() or 0)
     vec, vec_id, key = _matrix(rows.column("vec"), width), rows.column("vec_id").to_numpy(), rows.column("key").to_numpy()
     qid, qkey, cid, copies = vec_id[asks], key[asks], vec_id[~asks], rows.column("copies").to_numpy()
-    qi, ci, score = best_in_cell(qid, vec[asks], cid, vec[~asks])
+    qi, ci, score = best_in_cell(qid, vec[asks], cid, vec[~asks], k)
     return pa.table({"query_id": qid[qi], "query_key": qkey[qi], "vec_id": cid[ci], "score": score, "copies": copies[asks][qi] * copies[~asks][ci]})
 
 
@@ -139,7 +139,11 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, every_row: bool = False
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     candidates = vectors.select(F.lit(False).alias("asks"), "vec_id", "key", "vec", "copies", lane.alias("lane"), every(groups).alias("group"))
     queries = vectors.filter("asks").select(F.lit(True).alias("asks"), "vec_id", "key", "vec", "copies", every(lanes).alias("lane"), group.alias("group"))
-    found = candidates.unionByName(queries).groupBy("lane", "group").applyInArrow(_cell, _FOUND)
+
+    def cell(rows: pa.Table) -> pa.Table:
+        return _cell(rows, k)
+
+    found = candidates.unionByName(queries).groupBy("lane", "group").applyInArrow(cell, _FOUND)
     if every_row:
         copies = F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k).cast("long")))
         found = found.withColumn("copy", F.explode(copies))

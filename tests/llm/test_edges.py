@@ -87,6 +87,18 @@ def test_top_k_on_odd_vectors(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_any_length(spark):
+    """More results than a list of the registered query has, over several cells, against a sort."""
+    rows = [(i, [float((i * 37) % 101) / 8, float((i * 53) % 97) / 8]) for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    whole = {i: [int(256 * x // 1) for x in v] for i, v in rows}
+    for k in (1, 50, 1000):
+        got = topk.top_k(df, F.col("vec_id") % 350 == 0, k).collect()
+        for q in (0, 350):
+            want = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:k]
+            assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == want
+
+
 def test_urls_on_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "no scheme"), (4, "http://"), (5, "HTTP://A.Com"), (6, "x://h?q"), (None, "http://b.net/es/1"), (6, "x://h?q"), (7, "a://b://c/d")]
     df = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash")).withColumn("shape", F.lit(1))
