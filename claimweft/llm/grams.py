@@ -58,6 +58,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the spans [start, end) of a buffer of bytes."""
+    up, down = _tables(len(data))
+    total = np.zeros(len(data) + 1, U)
+    np.cumsum((data.astype(U) + U(1)) * up, dtype=U, out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts])
+
+
 def _buffer_tokens(buffer: bytes, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(buffer, np.uint8)
     kind = kinds[data]
@@ -68,10 +76,7 @@ def _buffer_tokens(buffer: bytes, kinds: np.ndarray) -> tuple[np.ndarray, np.nda
     starts, ends = cuts[:-1], cuts[1:]
     keep = kind[starts] != 0
     starts, ends = starts[keep], ends[keep]
-    up, down = _tables(len(data))
-    total = np.zeros(len(data) + 1, U)
-    np.cumsum((data.astype(U) + U(1)) * up, dtype=U, out=total[1:])
-    return starts, mix((total[ends] - total[starts]) * down[starts])
+    return starts, span_hashes(data, starts, ends)
 
 
 def _cut(raw: bytes) -> list[bytes]:

@@ -13,9 +13,10 @@ at a time and takes the unsettled end of a run into the next one, so only its la
 of choice, and memory is bounded by ``RUN`` and the longest text.
 
 Token ids are those of the tokenizer library: white space always separates its pre-tokens (tried
-when an encoder is made), so a text's ids are those of its pieces between white space. A task keeps the ids of pieces
-that it has met. New pieces of proven code points are cut here and merged by the library's
-model, others are encoded whole by the library.
+when an encoder is made), so a text's ids are those of its pieces between white space. A worker keeps the
+ids of up to ``KEPT`` pieces that it has met, finds them by 64-bit hashes and compares their bytes. New
+pieces of proven code points are cut here and merged by the library's model, others are encoded whole by
+the library.
 
 A null text is empty: one end id. Repeated rows are separate documents. An empty table has no pieces.
 """
@@ -33,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimweft.llm import grams
 from claimweft.llm.common import fresh, pieces_of
 from claimweft.llm.tokencount import PLAIN_END, Proof, _load, prove
 
@@ -43,59 +45,122 @@ SENTENCE, FORCED, WINDOW = 8, 64, 1
 STEP, SHORTEST = 512, 256
 RUN = 1 << 20
 #: Bytes encoded at a time, and pieces between white space and pre-tokens kept in a task's memory.
-_CHARS, KEPT = 1 << 20, 400_000
+_CHARS, KEPT = 1 << 20, 600_000
 _CLOSERS, _ENDS, _INNER_ENDS = "\"')]}»”’」』", tuple(".!?…。！？"), "。！？"
+_TAIL = frozenset((*_CLOSERS, *_ENDS))
+_SOLID = np.ones(256, bool)
+_SOLID[list(b" \t\n\r\x0b\x0c")] = False
 _DOCUMENT, _SENTENCE, _FORCED = 0, 1, 2
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The ranges [start, start + count), one after the other."""
-    before = np.cumsum(counts, dtype=np.int64) - counts
-    return np.arange(counts.sum()) + np.repeat(starts - before, counts)
+    before = np.cumsum(counts, dtype=starts.dtype) - counts
+    out = np.repeat(starts - before, counts)
+    out += np.arange(len(out), dtype=out.dtype)
+    return out
 
 
-class _Numbered(dict):
-    """Numbers keys in order of their first use and remembers those that are new."""
+class _Lists:
+    """A list of numbers for each of the numbers 0, 1, ..."""
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list = []
-
-    def __missing__(self, key: bytes | str) -> int:
-        number = self[key] = len(self)
-        self.new.append(key)
-        return number
-
-    def numbers(self, keys: list) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
-
-
-class _Ragged:
-    """Growing table of short integer lists by number."""
-
-    def __init__(self) -> None:
+    def __init__(self, kind: type) -> None:
         self.size = 0
-        self.starts, self.counts, self.flat = (np.zeros(1 << 16, np.int32) for _ in range(3))
+        self.starts, self.counts = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
+        self.flat = np.zeros(1 << 18, kind)
 
     def put(self, numbers: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
         """The list of ``numbers[i]`` is the next ``counts[i]`` of ``flat``."""
-        while len(numbers) and numbers.max() >= len(self.counts):
+        while len(numbers) and numbers[-1] >= len(self.counts):
             self.starts, self.counts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.counts))
         while self.size + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.counts[numbers] = counts
-        self.starts[numbers] = self.size + np.cumsum(counts, dtype=np.int64) - counts
+        self.starts[numbers] = self.size + np.cumsum(counts) - counts
         self.flat[self.size : self.size + len(flat)] = flat
         self.size += len(flat)
 
     def put_lists(self, numbers: np.ndarray, lists: Sequence[Sequence[int]]) -> None:
-        flat = np.fromiter(itertools.chain.from_iterable(lists), np.int64)
-        self.put(numbers, np.fromiter(map(len, lists), np.int64, len(lists)), flat)
+        flat = np.fromiter(itertools.chain.from_iterable(lists), self.flat.dtype)
+        self.put(numbers, np.fromiter(map(len, lists), np.int32, len(lists)), flat)
 
     def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(the lists of ``numbers`` one after the other, their counts)."""
         counts = self.counts[numbers]
-        return self.flat[ragged(self.starts[numbers], counts)].astype(np.int64), counts
+        return self.flat[ragged(self.starts[numbers], counts)], counts
+
+    def only(self, numbers: np.ndarray) -> _Lists:
+        out = _Lists(self.flat.dtype.type)
+        flat, counts = self.take(numbers)
+        out.put(np.arange(len(numbers)), counts, flat)
+        return out
+
+
+class _Numbers:
+    """Numbers 64-bit hashes in the order in which they are added (open addressing)."""
+
+    def __init__(self, bits: int = 16) -> None:
+        self.n = 0
+        self.keys, self.slots = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+        self.hashes = np.zeros(1 << bits, np.uint64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Their numbers, -1 for unknown ones."""
+        mask = np.uint64(len(self.keys) - 1)
+        at = (hashes & mask).astype(np.int64)
+        out = self.slots[at]
+        far = np.flatnonzero((out >= 0) & (self.keys[at] != hashes))
+        while len(far):
+            at[far] = (at[far] + 1) & int(mask)
+            out[far] = self.slots[at[far]]
+            far = far[(out[far] >= 0) & (self.keys[at[far]] != hashes[far])]
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        """New, distinct hashes get the next numbers."""
+        while 3 * (self.n + len(hashes)) > len(self.keys):
+            bigger = _Numbers(len(self.keys).bit_length())
+            bigger.add(self.hashes[: self.n])
+            self.keys, self.slots, self.hashes = bigger.keys, bigger.slots, bigger.hashes
+        mask = len(self.keys) - 1
+        at = (hashes & np.uint64(mask)).astype(np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            free = left[self.slots[at[left]] < 0]
+            _, first = np.unique(at[free], return_index=True)
+            done = free[first]
+            self.keys[at[done]], self.slots[at[done]] = hashes[done], self.n + done
+            left = left[self.slots[at[left]] != self.n + left]
+            at[left] = (at[left] + 1) & mask
+        self.hashes[self.n : self.n + len(hashes)] = hashes
+        self.n += len(hashes)
+
+
+class _Words(dict):
+    """Numbers words in order of their first use; counts uses."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+        self.uses = np.zeros(1 << 16, np.int64)
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
+        return number
+
+    def numbers(self, keys: list[str]) -> np.ndarray:
+        out = np.fromiter(map(self.__getitem__, keys), np.int32, len(keys))
+        while len(self) > len(self.uses):
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
+        self.uses[: len(self)] += np.bincount(out, minlength=len(self))
+        return out
+
+
+def _most_used(uses: np.ndarray, limit: int) -> np.ndarray:
+    """At most ``limit`` of those used more than once, the most used ones."""
+    chosen = np.flatnonzero(uses > 1)
+    return chosen if len(chosen) <= limit else np.sort(chosen[np.argpartition(-uses[chosen], limit)[:limit]])
 
 
 class Encoder:
@@ -118,8 +183,23 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.pieces, self.ids, self.ends = _Numbered(), _Ragged(), _Ragged()
-        self.words, self.merged = _Numbered(), _Ragged()
+        #: pieces between white space: their numbers, bytes, ids, and token places behind which a sentence ends
+        self.known, self.uses = _Numbers(), np.zeros(1 << 16, np.int64)
+        self.bytes, self.ids, self.ends = _Lists(np.uint8), _Lists(np.int32), _Lists(np.int32)
+        self.words, self.merged = _Words(), _Lists(np.int32)
+
+    def _thin(self) -> None:
+        """Common pieces and words stay, those met once go."""
+        chosen = _most_used(self.uses[: self.known.n], KEPT // 2)
+        hashes, uses = self.known.hashes[chosen], self.uses[chosen] // 2
+        self.known, self.uses = _Numbers(), uses
+        self.known.add(hashes)
+        self.bytes, self.ids, self.ends = (x.only(chosen) for x in (self.bytes, self.ids, self.ends))
+        chosen = _most_used(self.words.uses[: len(self.words)], KEPT // 2)
+        words, keys = _Words(), list(self.words)
+        words.numbers([keys[i] for i in chosen.tolist()])
+        words.new, words.uses[: len(chosen)] = [], self.words.uses[chosen] // 2
+        self.words, self.merged = words, self.merged.only(chosen)
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -129,50 +209,75 @@ class Encoder:
         offsets = self.tokenizer.encode(text, add_special_tokens=False).offsets
         return [i + 1 for i, (a, b) in enumerate(zip(offsets, offsets[1:])) if text[a[1] - 1] in _INNER_ENDS and b[0] >= a[1]]
 
-    def _learn(self, raw: list[bytes]) -> None:
+    def _learn(self, raw: list[bytes], numbers: np.ndarray) -> None:
         """Ids and sentence ends of new pieces."""
-        first = len(self.pieces) - len(raw)
-        texts = b"\n".join(raw).decode("utf-8", "replace").split("\n")
-        odd = [i for i, t in enumerate(texts) if self.odd(t)] if self.odd("\n".join(texts)) else []
+        self.bytes.put(numbers, np.fromiter(map(len, raw), np.int32, len(raw)), np.frombuffer(b"".join(raw), np.uint8))
+        joined = b"\n".join(raw).decode("utf-8", "replace")
+        texts = joined.split("\n")
+        odd = [i for i, t in enumerate(texts) if self.odd(t)] if self.odd(joined) else []
         plain = texts.copy()
         for i in odd:
             plain[i] = ""
         words = self.words.numbers(self.find("\n".join(["", *plain]).lower()))  # each piece behind a line end
         if self.words.new:
             new, self.words.new = self.words.new, []
-            split = [() if w == "\n" else [t.id for t in self.model.tokenize(w.translate(self.written))] for w in new]
+            split = [() if w == "\n" else [t.id for t in self.model.tokenize(w if w.isascii() and w.isprintable() else w.translate(self.written))] for w in new]
             self.merged.put_lists(np.arange(len(self.words) - len(new), len(self.words)), split)
         ids, counts = self.merged.take(words)
         piece = np.cumsum(words == self.words["\n"]) - 1
-        total = np.bincount(piece, weights=counts, minlength=len(raw)).astype(np.int64)
-        numbers = np.arange(first, first + len(raw))
+        total = np.bincount(piece, weights=counts, minlength=len(raw)).astype(np.int32)
         self.ids.put(numbers, total, ids)
-        ends = np.array([t.rstrip(_CLOSERS)[-1:] in _ENDS for t in texts])
         if odd:
             found = [self._whole(texts[i]) for i in odd]
             self.ids.put_lists(numbers[odd], found)
             total[odd] = [len(f) for f in found]
-        ends &= total > 0
-        self.ends.put(numbers, ends.astype(np.int64), total[ends])
+        ends = np.array([t[-1] in _TAIL and t.rstrip(_CLOSERS)[-1:] in _ENDS for t in texts]) & (total > 0)
+        self.ends.put(numbers, ends.astype(np.int32), total[ends])
         inner = [i for i in odd if any(c in texts[i] for c in _INNER_ENDS)]
         if inner:
             self.ends.put_lists(numbers[inner], [self._inner_ends(texts[i]) + [int(total[i])] * bool(ends[i]) for i in inner])
 
     def encode(self, texts: Sequence[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, offsets by text, places in ids where a sentence ends)."""
-        if max(len(self.pieces), len(self.words), self.ids.size // 8) > KEPT:
-            self.forget()
+        if max(self.known.n, len(self.words), self.ids.size // 8) > KEPT:
+            self._thin()
         # strings of the tokenizer's own, which begin with "<", are told apart by case
-        split = [(t if b"<" in t else t.lower()).split() if t else [] for t in texts]
-        pieces = self.pieces.numbers([p for s in split for p in s])
-        if self.pieces.new:
-            new, self.pieces.new = self.pieces.new, []
-            self._learn(new)
-        ids, counts = self.ids.take(pieces)
+        raw = [(t if b"<" in t else t.lower()) if t else b"" for t in texts]
+        buffer = b" ".join(raw)
+        data = np.frombuffer(buffer, np.uint8)
+        solid = _SOLID[data]
+        edges = np.flatnonzero(np.diff(solid, prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        hashes = grams.span_hashes(data, starts, ends)
+        numbers = self.known.find(hashes)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            some, first, back = np.unique(hashes[new], return_index=True, return_inverse=True)
+            before, at = self.known.n, new[first]
+            self.known.add(some)
+            self._learn([buffer[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)], np.arange(before, self.known.n))
+            numbers[new] = before + back
+        while self.known.n > len(self.uses):
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
+        self.uses[: self.known.n] += np.bincount(numbers, minlength=self.known.n)
+        if not np.array_equal(self.bytes.take(numbers)[0], data[solid]):
+            # two pieces with one hash: one text at a time, or else one piece at a time, after a new start
+            self.forget()
+            return self._apart([[t] for t in texts] if len(texts) > 1 else [[p] for p in raw[0].split()], len(texts) > 1)
+        ids, counts = self.ids.take(numbers)
         begins = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-        places, ends = self.ends.take(pieces)
-        places += np.repeat(begins[:-1], ends)
-        return ids, begins[np.cumsum([0, *map(len, split)])], places
+        places, marks = self.ends.take(numbers)
+        places = places + np.repeat(begins[:-1], marks)
+        return ids, begins[np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in raw)]))], places
+
+    def _apart(self, parts: list[list[bytes | None]], by_text: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = []
+        for part in parts:
+            found.append(self.encode(part))
+            self.forget()
+        sizes = np.cumsum([0, *(len(f[0]) for f in found)])
+        places = np.concatenate([f[2] + n for f, n in zip(found, sizes, strict=False)])
+        return np.concatenate([f[0] for f in found]), sizes if by_text else sizes[[0, -1]], places
 
 
 @functools.lru_cache(maxsize=1)
@@ -355,7 +460,7 @@ def pack(docs: DataFrame, path: str, limit: int = LIMIT, end: int = END) -> Data
                 tokens = np.diff(at) + 1
                 stop = np.cumsum(tokens)
                 shift = np.repeat(np.arange(b - a), np.diff(at))
-                whole = np.full(len(ids) + b - a, end, np.int64)
+                whole = np.full(len(ids) + b - a, end, np.int32)
                 whole[np.arange(len(ids)) + shift] = ids
                 # a sentence's end counts the end ids of the documents before
                 places = places + np.searchsorted(at, places, side="left") - 1

@@ -36,6 +36,25 @@ def test_ids_equal_the_library(library, rows_of):
             assert [*ids[at[i] : at[i + 1]].tolist(), 2] == ids_of(library, text), text
 
 
+def test_pieces_of_one_hash_are_told_apart(library, monkeypatch):
+    encoder = packing.Encoder(tokencount.prove(PATH))
+    texts = [b"one two. three", None, b"one one", b"", b"four"]
+    want = encoder.encode(texts)
+    encoder.forget()
+    monkeypatch.setattr(packing.grams, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    for got, wanted in zip(encoder.encode(texts), want, strict=True):
+        assert got.tolist() == wanted.tolist()
+
+
+def test_common_pieces_survive_thinning(library, monkeypatch):
+    monkeypatch.setattr(packing, "KEPT", 50)
+    encoder = packing.Encoder(tokencount.prove(PATH))
+    for i in range(40):
+        text = " ".join(f"w{i}x{j}. the" for j in range(20))
+        assert encoder.encode([text.encode()])[0].tolist() == ids_of(library, text)[:-1]
+    assert encoder.known.n <= 100 and encoder.known.find(packing.grams.span_hashes(np.frombuffer(b"the", np.uint8), np.array([0]), np.array([3])))[0] >= 0
+
+
 def test_sentences_end_where_their_tokens_do(library):
     encoder = packing.Encoder(tokencount.prove(PATH))
     text = 'One two. "Three!" four e.g. this 3.5 end? 文字。文「字！」x'
