@@ -30,7 +30,9 @@ def typed_extract(
     """Text extract to dates and amounts; junk becomes NULL.
 
     ``quality`` is told, by whatever writes or reads the rows first, the number of rows and how many
-    texts of each column gave no value (``unparsed_<column>``); no pass of its own is made.
+    texts of each column gave no value (``unparsed_<column>``); no pass of its own is made. In Spark 4.1 a
+    logistic model cannot score in the session it was fitted in once that session has observed
+    rows, so extracts that are counted are best read in a session of their own (``spark.newSession()``).
     """
     money = {c: F.col(c).try_cast("decimal(18,2)") for c in amounts}
     parsed = {**{c: lenient_date(F.col(c)) for c in dates}, **money}

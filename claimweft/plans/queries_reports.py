@@ -66,13 +66,17 @@ def booking_status(spark, folder):
     return booking.booking_status(claims(spark, folder, *_BOOKING_COLUMNS)).transform(as_double)
 
 
+# the months become columns; the pivot's input has to stand inside it
+_PERCENT_SQL = f"""WITH {_BOOKING_SQL},
+  total AS (SELECT pcode, processed_month, COUNT(*) AS n_month FROM kept GROUP BY ALL)
+  SELECT pcode, processed_month, 'entry_' || replace(entry_month, '-', '_') AS entry, round_even(COUNT(*) / any_value(n_month) * 100, 1) AS percent
+  FROM kept JOIN total USING (pcode, processed_month) WHERE entry_month IS NOT NULL GROUP BY ALL"""
+
+
 @query("q_booking_pivot", f"""
 WITH {_BOOKING_SQL},
 s AS (SELECT pcode, processed_month, {_STATUS_SQL}, COUNT(entry_month) > 0 AS any_entry FROM kept GROUP BY pcode, processed_month),
-m AS (SELECT pcode, processed_month, 'entry_' || replace(k.entry_month, '-', '_') AS entry,
-             round_even(COUNT(*) / any_value(total_claim_count) * 100, 1) AS percent
-      FROM kept k JOIN s USING (pcode, processed_month) WHERE k.entry_month IS NOT NULL GROUP BY ALL),
-p AS (PIVOT m ON entry USING first(percent) GROUP BY pcode, processed_month)
+p AS (PIVOT ({_PERCENT_SQL}) ON entry USING first(percent) GROUP BY pcode, processed_month)
 SELECT s.* EXCLUDE (any_entry), CASE WHEN any_entry THEN COALESCE(COLUMNS('entry_[0-9]+_[0-9]+'), 0) END
 FROM s LEFT JOIN p USING (pcode, processed_month)
 """)

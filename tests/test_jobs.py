@@ -195,6 +195,7 @@ def test_all_reports_from_one_scan(spark, sf_dir, tmp_path):
 
 
 def test_quality_counts_come_with_the_write(spark, tmp_path):
+    spark = spark.newSession()
     raw = raw_claims(spark).withColumn("processed_dt", F.when(F.col("claim_id") == "5", "31/31/2024").otherwise(F.col("processed_dt")))
     quality = Observation("quality")
     typed = monthly_reports.typed_extract(raw, ["processed_dt", "entry_dt"], ["savings_amt", "total_charge_amt", "fee_amount"], quality)
