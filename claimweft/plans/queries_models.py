@@ -179,7 +179,7 @@ def scoring_check(spark, folder):
 
 
 #: Grids of the registered search: every penalty, smaller forests and fewer boosting rounds than ``GRIDS``.
-_GRIDS = {"logreg": {"C": (0.1, 1, 10)}, "rf": {"numTrees": (10,), "maxDepth": (5, 8)}, "gbt": {"maxIter": (5,), "maxDepth": (3,)}}
+_GRIDS = {"logreg": {"C": (0.1, 1, 10)}, "rf": {"numTrees": (10,), "maxDepth": (5,)}, "gbt": {"maxIter": (3,), "maxDepth": (3,)}}
 
 
 @query("q_model_choice", f"""
