@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,7 +48,8 @@ CELL = 256
 BOTH = 2
 #: Sizes up to this are told apart, larger ones to one part in as many.
 FINE = 64
-_CHARS = 1 << 20
+#: Characters, and runs, handled at a time.
+_CHARS, _RUNS = 1 << 20, 1 << 16
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,27 +309,34 @@ def rare_keys(elements: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys).view(np.int64), np.repeat(side, prefix)
 
 
+def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, rows)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(rows), kind))
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [_multiset(t) for t in batch.column(1).to_pylist()]
-        columns = [pa.array([x.view(np.int64).tolist() for x, _ in sets], pa.list_(pa.int64())), pa.array([n.tolist() for _, n in sets], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["node", "runs", "counts"])
+        texts = batch.column(1)
+        for a, b in pieces_of(pa.compute.binary_length(texts).to_pylist(), _CHARS):
+            sets = [_multiset(t) for t in texts[a:b].to_pylist()]
+            columns = [_lists([x.view(np.int64) for x, _ in sets], pa.int64()), _lists([n for _, n in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *columns], ["node", "runs", "counts"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        elements, keys, sides = [], [], []
-        for rows in batch.column(1).to_pylist():
-            ordered = sorted((r["df"], r["run"], r["n"]) for r in rows)
-            own = _elements(np.array([r[1] for r in ordered], np.int64).view(np.uint64), np.array([r[2] for r in ordered], np.int64))
-            key, side = rare_keys(own)
-            elements.append(own.tobytes())
-            keys.append(key.tolist())
-            sides.append(side.tolist())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(elements, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sides, pa.list_(pa.int32()))],
-            ["node", "elements", "keys", "sides"],
-        )
+        lists = batch.column(1)
+        at, cells = lists.offsets.to_numpy(), lists.values
+        df, run, n = (cells.field(c).to_numpy(zero_copy_only=False) for c in ("df", "run", "n"))
+        for a, b in pieces_of(np.diff(at).tolist(), _RUNS):
+            elements, found = [], []
+            for first, last in zip(at[a:b].tolist(), at[a + 1 : b + 1].tolist(), strict=True):
+                order = first + np.lexsort((run[first:last], df[first:last]))
+                own = _elements(run[order].view(np.uint64), n[order])
+                elements.append(own.tobytes())
+                found.append(rare_keys(own))
+            columns = [pa.array(elements, pa.binary()), _lists([k for k, _ in found], pa.int64()), _lists([s for _, s in found], pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *columns], ["node", "elements", "keys", "sides"])
 
 
 def by_rare_runs(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
