@@ -2,12 +2,12 @@
 
 1. Document frequencies of hashed words are counted over all documents.
 2. A randomised SVD of TF-IDF passages gives a latent space for each block of about ``ITEM_BLOCK``
-   items, as many as its axes can tell apart. Its fit, and only that, reads a sample of about
-   ``FIT_DOCUMENTS`` whole documents (by hash) together with the block's items, whose passages
-   weigh as much as the sample's in all, so that the space keeps what tells them apart. Tasks return
-   A'(A X) for a random X, all that the single-pass form needs: the driver holds one matrix of fixed
-   size. Axes are divided by the root of their singular values, so that common words don't make
-   unrelated passages alike.
+   items, as many as its axes can tell apart. Its fit reads every passage of all documents, once for
+   all blocks, together with the block's items, whose passages weigh as much as the documents' in
+   all, so that the space keeps what tells them apart. Tasks return A'(A X) for a random X, all that
+   the single-pass form needs: the driver holds one matrix of fixed size for the documents and one
+   for a block. Axes are divided by the root of their singular values, so that common words don't
+   make unrelated passages alike.
 3. Every document is indexed: overlapping windows of each width a benchmark item needs, compared
    with the items by cosine. The least cosine follows from the share of words an item needs and
    from its length in the window. Windows with too few of the rarer words of a group of items to hold a
@@ -41,8 +41,8 @@ from claimweft.llm.common import pieces_of, stage_table
 VOCABULARY = 1 << 16
 RANK, SKETCH = 128, 144
 PASSAGE = 64
-FIT_DOCUMENTS = 20_000
-FIT_TASKS = 6
+#: Words (different ones of each document) that a task of the fit takes: each task sends a matrix.
+FIT_WORDS = 1 << 23
 ITEM_BLOCK, PASS_BLOCKS = 256, 8
 #: Words between window starts; a window is at least this much wider than its items.
 STRIDE = 16
@@ -60,6 +60,10 @@ _WORDS_BLOCK = 256
 _CHARS = 1 << 20
 #: Words of candidates compared at a time.
 _WORDS_AT_ONCE = 1 << 21
+#: Passages projected at a time, and summed at a time; words that go through products of whole matrices.
+_PASSAGES, _SUMMED, _COMMON = 1000, 1 << 15, 512
+#: Words gathered at a time in either step, few enough to stay in the processor's cache.
+_GATHERED, _SPREAD = 256, 512
 #: Items of a group, and the part of an item's words that a window must hold of its rarest ones.
 _GROUP, _RARE = 8, 0.2
 _BLOCKS_AT_ONCE = 256
@@ -83,53 +87,102 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def inverse_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """(weight by word bucket, number of documents), counted over all documents."""
+    """(weight by word bucket, number of different words of each document in all), counted over all documents."""
     found = docs.select("text").mapInArrow(_frequencies, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
     counts = dict(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True))
     n = counts.pop(-1, 0)
     df = np.zeros(VOCABULARY)
     df[list(counts)] = list(counts.values())
-    return np.log((1.0 + n) / (1.0 + df)).astype(np.float32), n
+    return np.log((1.0 + n) / (1.0 + df)).astype(np.float32), int(df.sum())
 
 
-def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, weights = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for a, b in pieces_of([len(t or "") for t in texts], _CHARS):
-            words, at = grams.tokens(texts[a:b])
-            ids = _ids(words).astype(np.int32)
-            cuts = [(t, i, min(i + PASSAGE, at[t + 1])) for t in range(b - a) for i in range(at[t], at[t + 1], PASSAGE)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i:e] for _, i, e in cuts], pa.list_(pa.int32())), pa.array([weights[a + t] for t, _, _ in cuts], pa.float64())],
-                ["words", "weight"],
-            )
+def _passage_lengths(at: np.ndarray) -> np.ndarray:
+    """Lengths of the passages of texts whose words begin at ``at``: PASSAGE, and what is left of each text."""
+    words = np.diff(at)
+    counts = -(-words // PASSAGE)
+    lengths = np.full(int(counts.sum()), PASSAGE, np.int64)
+    some = counts > 0
+    lengths[np.cumsum(counts)[some] - 1] = (words - (counts - 1) * PASSAGE)[some]
+    return lengths
 
 
-def _project(batch: pa.RecordBatch, idf: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(A X, words, owner, value): normalised, weighted TF-IDF passages times ``x``, and their entries."""
-    lists = batch.column(0)
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    words = lists.flatten().to_numpy(zero_copy_only=False)
-    owner = np.repeat(np.arange(len(lengths)), lengths)
-    norm = np.sqrt(np.maximum(np.bincount(owner, weights=idf[words] ** 2, minlength=len(lengths)), 1e-9))
-    scale = np.sqrt(batch.column(1).to_numpy(zero_copy_only=False)) / norm
-    value = (idf[words] * scale[owner]).astype(np.float32)
-    out = np.zeros((len(lengths), x.shape[1]), np.float32)
-    some = np.flatnonzero(lengths)
-    if len(some):
-        out[some] = np.add.reduceat(x[words] * value[:, None], (np.cumsum(lengths) - lengths)[some], axis=0)
-    return out, words, owner, value
+class _Moments:
+    """A'(A X) of a task's passages: A has their normalised TF-IDF rows.
 
+    The weights of words and the norms of passages are put on X, on A X and on the end's sums, so words are
+    only gathered and added; the commonest ones, a large part of all, go through matrix products instead.
+    """
 
-def _sum_blocks(rows: pa.Table) -> pa.Table:
-    parts = [np.frombuffer(v.as_py(), np.float32) for v in rows.column("part")]
-    return pa.table({"block": rows.column("block").slice(0, 1), "part": pa.array([np.sum(parts, axis=0).tobytes()], pa.binary())})
+    def __init__(self, idf: np.ndarray) -> None:
+        self.idf, self.x = idf, _sketch() * idf[:, None]
+        self.common = np.argpartition(idf, _COMMON)[:_COMMON]
+        self.place = np.full(VOCABULARY, -1, np.int64)
+        self.place[self.common] = np.arange(_COMMON)
+        self.x_common = self.x[self.common]
+        self.total = np.zeros((VOCABULARY, SKETCH), np.float32)
+        self.total_common = np.zeros((_COMMON, SKETCH), np.float32)
+        self.n = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Passages of the given lengths, none empty, that stand one after another in ``ids``."""
+        at = np.concatenate([[0], np.cumsum(lengths)])
+        for a in range(0, len(lengths), _PASSAGES):
+            b = min(a + _PASSAGES, len(lengths))
+            self._project(ids[at[a] : at[b]], lengths[a:b])
+            if self.waiting >= _SUMMED:
+                self._spread()
+
+    def _project(self, words: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(lengths)
+        owner, place = np.repeat(np.arange(n), lengths), self.place[words]
+        norm = np.maximum(np.bincount(owner, weights=self.idf[words].astype(float) ** 2, minlength=n), 1e-9)
+        known = place >= 0
+        counts = np.bincount(owner[known] * _COMMON + place[known], minlength=n * _COMMON).astype(np.float32).reshape(n, _COMMON)
+        y = counts @ self.x_common
+        word, of = words[~known], owner[~known]
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        ends = np.append(first[1:], len(of))
+        sums = np.empty((len(first), SKETCH), np.float32)
+        i = 0
+        while i < len(first):
+            j = max(i + 1, int(np.searchsorted(ends, first[i] + _GATHERED, "right")))
+            np.add.reduceat(self.x[word[first[i] : ends[j - 1]]], first[i:j] - first[i], axis=0, out=sums[i:j])
+            i = j
+        y[of[first]] += sums
+        y /= norm[:, None].astype(np.float32)
+        self.total_common += counts.T @ y
+        self.held.append((word, of + self.waiting, y))
+        self.waiting += n
+        self.n += n
+
+    def _spread(self) -> None:
+        """Add what the held passages give their words, the same words together."""
+        if not self.held:
+            return
+        word, of, y = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        self._clear()
+        order = np.argsort(word, kind="stable")
+        word, of = word[order], of[order]
+        for a in range(0, len(word), _SPREAD):
+            part = word[a : a + _SPREAD]
+            first = np.flatnonzero(np.diff(part, prepend=-1))
+            self.total[part[first]] += np.add.reduceat(y[of[a : a + _SPREAD]], first, axis=0)
 
+    def result(self) -> np.ndarray:
+        self._spread()
+        self.total[self.common] += self.total_common
+        return self.total * self.idf[:, None]
 
-def _small_batches(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+
+def _sum_blocks(rows: pa.Table) -> pa.Table:
+    parts = [np.frombuffer(v.as_py(), np.float32) for v in rows.column("part")]
+    n = sum(rows.column("n").to_pylist())
+    return pa.table({"block": rows.column("block").slice(0, 1), "n": pa.array([n], pa.int64()), "part": pa.array([np.sum(parts, axis=0).tobytes()], pa.binary())})
 
 
 def _sketch() -> np.ndarray:
@@ -160,33 +213,31 @@ def _latent_axes(y: np.ndarray) -> np.ndarray:
     return np.concatenate([(shifted(part) @ (solve @ (vectors * scale))).astype(np.float32) for part in slices])
 
 
-def fit_space(passages: DataFrame, idf: np.ndarray) -> np.ndarray:
-    """(VOCABULARY, RANK) weights that take word counts to latent coordinates.
+def moments(texts: DataFrame, idf: np.ndarray, tasks: int) -> tuple[np.ndarray, int]:
+    """(A'(A X), number of passages) of all passages of ``texts`` (text), read by at most ``tasks`` tasks."""
+    sent = texts.sparkSession.sparkContext.broadcast(idf)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _Moments(sent.value)
+        for batch in batches:
+            listed = batch.column(0).to_pylist()
+            for a, b in pieces_of([len(t or "") for t in listed], _CHARS):
+                words, at = grams.tokens(listed[a:b])
+                found.add(_ids(words), _passage_lengths(at))
+        blocks = found.result().reshape(-1, _WORDS_BLOCK * SKETCH)
+        used = np.flatnonzero(blocks.any(axis=1)) if found.n else []
+        for k, i in enumerate(used):  # the first block tells the task's passages
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i], pa.int32()), pa.array([0 if k else found.n], pa.int64()), pa.array([blocks[i].tobytes()], pa.binary())], ["block", "n", "part"]
+            )
 
-    Half precision, and scaled as a whole, which no cosine sees: it goes to every task.
-    """
-    sent = passages.sparkSession.sparkContext.broadcast(idf)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, x = sent.value, _sketch()
-        total = np.zeros((VOCABULARY, SKETCH), np.float32)
-        for batch in _small_batches(batches):
-            y, words, owner, value = _project(batch, weights, x)
-            order = np.argsort(words, kind="stable")
-            if len(order):
-                word = words[order]
-                first = np.flatnonzero(np.diff(word, prepend=-1))
-                total[word[first]] += np.add.reduceat(y[owner[order]] * value[order][:, None], first, axis=0)
-        blocks = total.reshape(-1, _WORDS_BLOCK * SKETCH)
-        used = np.flatnonzero(blocks.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([blocks[i].tobytes() for i in used], pa.binary())], ["block", "part"])
-
-    schema = "block int, part binary"
-    y = np.zeros((VOCABULARY // _WORDS_BLOCK, _WORDS_BLOCK * SKETCH), np.float32)
-    for row in passages.mapInArrow(spread, schema).groupBy("block").applyInArrow(_sum_blocks, schema).toLocalIterator():
+    schema = "block int, n long, part binary"
+    y, n = np.zeros((VOCABULARY // _WORDS_BLOCK, _WORDS_BLOCK * SKETCH), np.float32), 0
+    parts = texts.select("text").coalesce(tasks).mapInArrow(add, schema)
+    for row in parts.groupBy("block").applyInArrow(_sum_blocks, schema).toLocalIterator():
         y[row.block] = np.frombuffer(row.part, np.float32)
-    space = idf[:, None] * _latent_axes(y.reshape(VOCABULARY, SKETCH))
-    return (space * (100.0 / max(float(np.abs(space).max()), 1e-30))).astype(np.float16)
+        n += row.n
+    return y.reshape(VOCABULARY, SKETCH), n
 
 
 def longest_common(region: list[int], masks: dict[int, int], length: int) -> int:
@@ -392,35 +443,34 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[list[Item]]:
     yield from filter(None, map(_items, _blocks(benchmark)))
 
 
-def _cut_passages(texts: DataFrame) -> DataFrame:
-    return texts.select("text", F.lit(1.0).alias("weight")).mapInArrow(_passages, "words array<int>, weight double")
-
+def fit_documents(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """(weight by word bucket, A'(A X) of all documents' passages, their number), the same for all blocks."""
+    idf, words = inverse_frequencies(docs)
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(words / FIT_WORDS))
+    return idf, *moments(docs, idf, tasks)
 
-def fit_sample(docs: DataFrame) -> tuple[np.ndarray, DataFrame, int]:
-    """(weight by word bucket, passages of sampled documents, their number), the same for all blocks."""
-    idf, n = inverse_frequencies(docs)
-    share = min(1.0, FIT_DOCUMENTS / max(n, 1))
-    chosen = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(1 << 20)) < math.ceil(share * (1 << 20))
-    sample = stage_table(_cut_passages(docs.filter(chosen)).repartition(FIT_TASKS), "passages")
-    return idf, sample, sample.count()
 
+def latent_space(docs: DataFrame, benchmark: DataFrame, fitted: tuple[np.ndarray, np.ndarray, int] | None = None) -> np.ndarray:
+    """(VOCABULARY, RANK) weights that take word counts to latent coordinates, for a block of items.
 
-def latent_space(docs: DataFrame, benchmark: DataFrame, sampled: tuple[np.ndarray, DataFrame, int] | None = None) -> np.ndarray:
-    """Fit of the latent space of a block of items; see the module's text for what it reads."""
-    idf, sample, n = sampled or fit_sample(docs)
-    wanted = stage_table(_cut_passages(benchmark), "benchmark-passages")
-    weight = max(1.0, n / max(1, wanted.count()))
-    return fit_space(sample.unionByName(wanted.withColumn("weight", F.lit(weight))).coalesce(FIT_TASKS), idf)
+    Half precision, and scaled as a whole, which no cosine sees: it goes to every task.
+    """
+    idf, y, n = fitted or fit_documents(docs)
+    own, wanted = moments(benchmark, idf, docs.sparkSession.sparkContext.defaultParallelism)
+    own *= max(1.0, n / max(1, wanted))
+    own += y
+    space = idf[:, None] * _latent_axes(own)
+    return (space * (100.0 / max(float(np.abs(space).max()), 1e-30))).astype(np.float16)
 
 
 def _passes(docs: DataFrame, benchmark: DataFrame) -> Iterator[list[Broadcast]]:
     """The blocks of items with their spaces, as they go through the documents together."""
-    sampled, held = None, []
+    fitted, held = None, []
     for block in _blocks(benchmark):
         items = _items(block)
         if items:
-            sampled = sampled or fit_sample(docs)
-            held.append(docs.sparkSession.sparkContext.broadcast((items, latent_space(docs, block, sampled))))
+            fitted = fitted or fit_documents(docs)
+            held.append(docs.sparkSession.sparkContext.broadcast((items, latent_space(docs, block, fitted))))
         if len(held) == PASS_BLOCKS:
             yield held
             held = []

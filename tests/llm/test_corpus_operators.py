@@ -163,6 +163,40 @@ def test_leaks_of_whole_and_changed_passages(spark, sf_dir, docs, rows_of):
     assert found >= 0.9 * len(items)
 
 
+def test_space_is_fitted_on_all_documents(spark, monkeypatch):
+    """A'(A X) and the number of passages against dense matrices, over more documents than a sample of 20,000."""
+    monkeypatch.setattr(leaks, "FIT_WORDS", 1 << 14)
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(2500)]
+    texts = [" ".join(rnd.choice(words[: rnd.choice([20, 2500])]) for _ in range(rnd.randint(1, 9))) for _ in range(20_500)]
+    texts += [None, "", " ".join(rnd.choice(words) for _ in range(3 * leaks.PASSAGE)), " ".join(rnd.choice(words) for _ in range(leaks.PASSAGE + 1))]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    fitted = leaks.fit_documents(docs)
+    idf, y, n = fitted
+    listed = [leaks._ids(grams.tokens([t])[0]) for t in texts]
+    df = np.bincount(np.concatenate([np.unique(w) for w in listed]), minlength=leaks.VOCABULARY)
+    assert np.allclose(idf, np.log((1 + len(texts)) / (1 + df)), rtol=1e-6)
+    passages = [w[i : i + leaks.PASSAGE] for w in listed for i in range(0, len(w), leaks.PASSAGE)]
+    assert n == len(passages) > 20_000
+    used = np.flatnonzero(df)
+    x, want = leaks._sketch()[used].astype(float), np.zeros((len(used), leaks.SKETCH))
+    for a in range(0, n, 500):
+        rows = np.array([np.bincount(np.searchsorted(used, p), minlength=len(used)) for p in passages[a : a + 500]]) * idf[used].astype(float)
+        norm = np.sqrt([max(float((idf[p].astype(float) ** 2).sum()), 1e-9) for p in passages[a : a + 500]])
+        rows /= norm[:, None]
+        want += rows.T @ (rows @ x)
+    assert np.abs(y[used] - want).max() < 1e-5 * np.abs(want).max() and not y[df == 0].any()
+    # the same in one process, summed more often
+    monkeypatch.setattr(leaks, "_SUMMED", 3000)
+    alone = leaks._Moments(idf)
+    for part in (listed[:7000], listed[7000:]):
+        alone.add(np.concatenate(part), leaks._passage_lengths(np.cumsum([0, *map(len, part)])))
+    assert alone.n == n and np.allclose(alone.result(), y, atol=1e-5 * np.abs(want).max())
+    # blocks of items share the documents' part
+    monkeypatch.setattr(leaks, "fit_documents", lambda _: pytest.fail("fitted again"))
+    assert leaks.latent_space(docs, docs.limit(5), fitted).shape == (leaks.VOCABULARY, leaks.RANK)
+
+
 def test_recall_with_thousands_of_items(spark, monkeypatch):
     """Passages at shares of 0.6 to 1, against the longest common subsequence of every region."""
     rnd = random.Random(12)
