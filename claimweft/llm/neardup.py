@@ -398,11 +398,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class, the one with the smallest doc_id; columns unchanged.
 
-    Rows with null texts all stay.
+    Rows with null texts all stay. Only rows that are repeated are numbered, so the other texts are not shuffled for it.
     """
     row_id, nth, doc, row = fresh(docs, "row_id", "nth", "doc", "row")
-    kept = stage_table(near_duplicates(docs).filter("keeper").select(F.col("doc_id").alias(doc), F.col("row_id").alias(row)).distinct(), "kept")
+    kept = near_duplicates(docs).filter("keeper").groupBy(F.col("doc_id").alias(doc), F.col("row_id").alias(row)).agg(F.count("*").alias("n"))
+    kept = stage_table(kept, "kept")
+    repeated = stage_table(kept.filter("n > 1").select(doc, row), "kept-repeated")  # its own size decides how it is joined
     keyed = docs.withColumn(row_id, F.xxhash64("doc_id", "text"))
-    found = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(row_id) == F.col(row)), "left_semi")
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(row_id) == F.col(row))
+    single = keyed.join(kept.filter("n = 1"), same, "left_semi").drop(row_id)
     once = Window.partitionBy("doc_id", row_id).orderBy(F.lit(0))
-    return found.withColumn(nth, F.row_number().over(once)).filter((F.col(nth) == 1) | F.col("text").isNull()).drop(row_id, nth)
+    copies = keyed.join(repeated, same, "left_semi").withColumn(nth, F.row_number().over(once))
+    return single.unionByName(copies.filter((F.col(nth) == 1) | F.col("text").isNull()).drop(row_id, nth))

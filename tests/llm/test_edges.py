@@ -118,3 +118,15 @@ def test_conversations_on_odd_rows(spark):
 
 def test_nothing_is_left_in_the_working_folder():
     assert not [f for f in os.listdir(".") if f.startswith(("spark-warehouse", "part-"))]
+
+
+def test_deduplication_shuffles_repeated_texts_only(spark, odd_docs):
+    """One row of each text stays, null texts all do; only the branch of repeated rows is numbered."""
+    kept = neardup.deduplicate(odd_docs)
+    rows = odd_docs.collect()
+    assert kept.columns == odd_docs.columns and kept.filter("text is null").count() == sum(r.text is None for r in rows)
+    texts = [r.text for r in kept.collect() if r.text is not None]
+    assert len(texts) == len(set(texts)) and set(texts) <= {r.text for r in rows}
+    lines = kept._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    single = [x for x in lines if x.startswith(":")]  # the first of the two branches
+    assert any("LeftSemi" in x for x in single) and not any("Window" in x for x in single) and any("Window" in x for x in lines)
