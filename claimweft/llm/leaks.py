@@ -61,9 +61,9 @@ _CHARS = 1 << 20
 #: Words of candidates compared at a time.
 _WORDS_AT_ONCE = 1 << 21
 #: Passages projected at a time, and summed at a time; words that go through products of whole matrices.
-_PASSAGES, _SUMMED, _COMMON = 1000, 1 << 15, 512
+_PASSAGES, _SUMMED, _COMMON = 250, 1 << 15, 512
 #: Words gathered at a time in either step, few enough to stay in the processor's cache.
-_GATHERED, _SPREAD = 256, 512
+_GATHERED, _SPREAD = 512, 1024
 #: Items of a group, and the part of an item's words that a window must hold of its rarest ones.
 _GROUP, _RARE = 8, 0.2
 _BLOCKS_AT_ONCE = 256
@@ -80,8 +80,13 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n += len(texts)
         for a, b in pieces_of([len(t or "") for t in texts], _CHARS):
             words, at = grams.tokens(texts[a:b])
-            doc = np.repeat(np.arange(b - a), np.diff(at))
-            total += np.bincount(np.unique(doc * VOCABULARY + _ids(words)) % VOCABULARY, minlength=VOCABULARY)
+            for first in range(0, b - a, VOCABULARY):  # a text's place and a word's bucket fit 32 bits
+                last = min(first + VOCABULARY, b - a)
+                place = np.arange(last - first, dtype=np.uint32) * np.uint32(VOCABULARY)
+                cell = np.repeat(place, np.diff(at[first : last + 1])) + _ids(words[at[first] : at[last]]).astype(np.uint32)
+                cell.sort()
+                once = cell[np.diff(cell, prepend=~cell[:1]) != 0]
+                total += np.bincount(once % np.uint32(VOCABULARY), minlength=VOCABULARY)
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(total[used], n))], ["word", "n"])
 
@@ -115,8 +120,9 @@ class _Moments:
 
     def __init__(self, idf: np.ndarray) -> None:
         self.idf, self.x = idf, _sketch() * idf[:, None]
+        self.square = idf.astype(float) ** 2
         self.common = np.argpartition(idf, _COMMON)[:_COMMON]
-        self.place = np.full(VOCABULARY, -1, np.int64)
+        self.place = np.full(VOCABULARY, _COMMON, np.int64)  # the rest have a column that is left out
         self.place[self.common] = np.arange(_COMMON)
         self.x_common = self.x[self.common]
         self.total = np.zeros((VOCABULARY, SKETCH), np.float32)
@@ -140,23 +146,23 @@ class _Moments:
     def _project(self, words: np.ndarray, lengths: np.ndarray) -> None:
         n = len(lengths)
         owner, place = np.repeat(np.arange(n), lengths), self.place[words]
-        norm = np.maximum(np.bincount(owner, weights=self.idf[words].astype(float) ** 2, minlength=n), 1e-9)
-        known = place >= 0
-        counts = np.bincount(owner[known] * _COMMON + place[known], minlength=n * _COMMON).astype(np.float32).reshape(n, _COMMON)
+        norm = np.maximum(np.add.reduceat(self.square[words], np.cumsum(lengths) - lengths), 1e-9)
+        counts = np.bincount(owner * (_COMMON + 1) + place, minlength=n * (_COMMON + 1)).reshape(n, _COMMON + 1)
+        rare = place == _COMMON
+        word, of = words[rare].astype(np.uint16), owner[rare].astype(np.int32)
+        some = np.flatnonzero(counts[:, _COMMON])
+        ends = np.cumsum(counts[some, _COMMON])
+        counts = counts[:, :_COMMON].astype(np.float32)
         y = counts @ self.x_common
-        word, of = words[~known], owner[~known]
-        first = np.flatnonzero(np.diff(of, prepend=-1))
-        ends = np.append(first[1:], len(of))
-        sums = np.empty((len(first), SKETCH), np.float32)
-        i = 0
-        while i < len(first):
-            j = max(i + 1, int(np.searchsorted(ends, first[i] + _GATHERED, "right")))
-            np.add.reduceat(self.x[word[first[i] : ends[j - 1]]], first[i:j] - first[i], axis=0, out=sums[i:j])
-            i = j
-        y[of[first]] += sums
+        i = start = 0
+        while i < len(some):
+            j = max(i + 1, int(ends.searchsorted(start + _GATHERED, "right")))
+            begins = np.concatenate([[0], ends[i : j - 1] - start])
+            y[some[i:j]] += np.add.reduceat(self.x.take(word[start : ends[j - 1]], axis=0, mode="clip"), begins, axis=0)
+            i, start = j, int(ends[j - 1])
         y /= norm[:, None].astype(np.float32)
         self.total_common += counts.T @ y
-        self.held.append((word, of + self.waiting, y))
+        self.held.append((word, of + np.int32(self.waiting), y))
         self.waiting += n
         self.n += n
 
@@ -170,8 +176,8 @@ class _Moments:
         word, of = word[order], of[order]
         for a in range(0, len(word), _SPREAD):
             part = word[a : a + _SPREAD]
-            first = np.flatnonzero(np.diff(part, prepend=-1))
-            self.total[part[first]] += np.add.reduceat(y[of[a : a + _SPREAD]], first, axis=0)
+            first = np.flatnonzero(np.diff(part, prepend=~part[:1]))
+            self.total[part[first]] += np.add.reduceat(y.take(of[a : a + _SPREAD], axis=0, mode="clip"), first, axis=0)
 
     def result(self) -> np.ndarray:
         self._spread()

@@ -5,8 +5,10 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zlib
 
@@ -197,6 +199,20 @@ def test_space_is_fitted_on_all_documents(spark, monkeypatch):
     assert leaks.latent_space(docs, docs.limit(5), fitted).shape == (leaks.VOCABULARY, leaks.RANK)
 
 
+def test_frequencies_of_more_texts_than_buckets():
+    """Sums of one piece of 70,000 short texts, in half the room that 64-bit cells take."""
+    texts = pa.array([f"a{i % 7} a{i % 7} b" if i % 3 else None for i in range(leaks.VOCABULARY + 4464)])
+    tracemalloc.start()
+    found = next(leaks._frequencies(iter([pa.RecordBatch.from_arrays([texts], ["text"])])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = collections.Counter({-1: len(texts)})
+    for t in texts.to_pylist():
+        want.update(set(leaks._ids(grams.tokens([t])[0]).tolist()))
+    assert dict(zip(found["word"].to_pylist(), found["n"].to_pylist(), strict=True)) == want
+    assert peak < 20e6
+
+
 def test_recall_with_thousands_of_items(spark, monkeypatch):
     """Passages at shares of 0.6 to 1, against the longest common subsequence of every region."""
     rnd = random.Random(12)
