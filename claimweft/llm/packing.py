@@ -45,7 +45,7 @@ SENTENCE, FORCED, WINDOW = 8, 64, 1
 STEP, SHORTEST = 512, 256
 RUN = 1 << 20
 #: Bytes encoded at a time, and pieces between white space and pre-tokens kept in a task's memory.
-_CHARS, KEPT = 1 << 20, 600_000
+_CHARS, KEPT = 1 << 19, 300_000
 _CLOSERS, _ENDS, _INNER_ENDS = "\"')]}»”’」』", tuple(".!?…。！？"), "。！？"
 _TAIL = frozenset((*_CLOSERS, *_ENDS))
 _SOLID = np.ones(256, bool)
@@ -191,7 +191,8 @@ class Encoder:
     def _thin(self) -> None:
         """Common pieces and words stay, those met once go."""
         chosen = _most_used(self.uses[: self.known.n], KEPT // 2)
-        hashes, uses = self.known.hashes[chosen], self.uses[chosen] // 2
+        hashes, uses = self.known.hashes[chosen], np.zeros(max(len(chosen), 1 << 16), np.int64)
+        uses[: len(chosen)] = self.uses[chosen] // 2
         self.known, self.uses = _Numbers(), uses
         self.known.add(hashes)
         self.bytes, self.ids, self.ends = (x.only(chosen) for x in (self.bytes, self.ids, self.ends))

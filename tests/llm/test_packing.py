@@ -55,6 +55,16 @@ def test_common_pieces_survive_thinning(library, monkeypatch):
     assert encoder.known.n <= 100 and encoder.known.find(packing.grams.span_hashes(np.frombuffer(b"the", np.uint8), np.array([0]), np.array([3])))[0] >= 0
 
 
+def test_pieces_kept_stay_in_bounds(library):
+    """640,000 different pieces and their words: the worker's arrays stay below 80 MB, and thinning ends."""
+    encoder = packing.Encoder(tokencount.prove(PATH))
+    for start in range(0, 640_000, 40_000):
+        encoder.encode([" ".join(f"w{i}" for i in range(start, start + 40_000)).encode()])
+    lists = [x for y in (encoder.bytes, encoder.ids, encoder.ends, encoder.merged) for x in (y.starts, y.counts, y.flat)]
+    held = [*lists, encoder.uses, encoder.words.uses, encoder.known.keys, encoder.known.slots, encoder.known.hashes]
+    assert sum(x.nbytes for x in held) < 80e6 and encoder.known.n < 2 * packing.KEPT
+
+
 def test_sentences_end_where_their_tokens_do(library):
     encoder = packing.Encoder(tokencount.prove(PATH))
     text = 'One two. "Three!" four e.g. this 3.5 end? 文字。文「字！」x'
