@@ -3,6 +3,9 @@
 import random
 
 import pytest
+import collections
+import math
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Observation
@@ -88,6 +91,29 @@ def test_tree_over_a_column_of_many_values(spark, tmp_path):
     assert training.label_leaves(loaded, strange, ["id"]).count() == 2
 
 
+def test_tree_tries_every_value(spark):
+    """Ten hits at the end of 5,000 values, past the last of 32 bins, and the best split of two columns by brute force."""
+    rows = spark.range(5000).selectExpr("id", "cast(id as double) as x", "cast(id >= 4990 as int) as target")
+    model = training.fit_tree(rows, ["x"], [])
+    assert model.stages[-1].numNodes == 3
+    assert training.label_leaves(model, rows, ["target"]).filter("abs(prob_paid - target) > 1e-9").count() == 0
+    listed = [(float(i * 37 % 101), str(i * 53 % 17), int((i * 37 % 101 > 60) ^ (i % 3 == 0) ^ (i * 53 % 17 < 5))) for i in range(1500)]
+    rows = spark.createDataFrame(listed, "x double, c string, target int").repartition(3)
+    tree = training.fit_tree(rows, ["x"], ["c"], depth=1).stages[-1].tree()
+
+    def bits(ys):
+        return -sum(p * math.log2(p) for p in (sum(ys) / len(ys), 1 - sum(ys) / len(ys)) if p) * len(ys) if ys else 0.0
+
+    ys, share = [y for *_, y in listed], collections.defaultdict(list)
+    for _, c, y in listed:
+        share[c].append(y)
+    ranked = sorted(share, key=lambda c: (sum(share[c]) / len(share[c]), int(c)))
+    sides = [lambda r, v=v: r[0] <= v for v in {r[0] for r in listed}]
+    sides += [lambda r, k=k: r[1] in ranked[:k] for k in range(1, len(ranked))]
+    gains = [bits(ys) - bits([r[2] for r in listed if s(r)]) - bits([r[2] for r in listed if not s(r)]) for s in sides]
+    assert tree[1]["gain"] == pytest.approx(max(gains) / len(ys), abs=1e-12) and len(tree) == 3
+
+
 def test_factor_table(spark):
     raw = spark.createDataFrame(
         [(1, "Y", "C1", "S", "N1", None, "02139-1", "MA", 5.0, 10.0, "PAID", "EN"),
