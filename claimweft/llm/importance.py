@@ -10,8 +10,8 @@ probability in proportion to the ratio.
   weighs nothing and labelled documents have no advantage.
 * A token next to itself counts as the bigram "repeated", whatever the token is: invented junk
   repeats words that no other document has.
-* The raw model counts all grams of all documents; the target model counts those of at most
-  ``label_rows`` labelled documents, the only bound, drawn by a hash of the document number.
+* The raw model counts all grams of all documents, the target model those of all documents that are
+  labelled good; the labels go to every task only while they are small.
 * k is the share of labelled documents whose quality is 1, plus two standard errors, of all
   documents: when the estimate is off, junk stays rather than good text going.
 
@@ -37,9 +37,8 @@ from claimweft.llm.common import fresh, kth_largest, pieces_of, stage_table
 BUCKETS = 1 << 16
 #: Pseudo-counts of a bucket in both models.
 SMOOTHING = 100.0
-LABEL_ROWS = 20_000
 SEED = 20240611
-_CHARS = 4 << 20
+_CHARS = 1 << 20
 
 
 def _buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,8 +76,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def good_documents(labels: DataFrame, label_rows: int = LABEL_ROWS) -> DataFrame:
-    """At most ``label_rows`` documents that are labelled good and not toxic (_doc long)."""
+def good_documents(labels: DataFrame) -> DataFrame:
+    """The documents that are labelled good and not toxic (_doc long)."""
     return (
         labels.select(F.col("doc_id").alias("_doc"), F.col("quality").alias("q"), F.col("toxic").alias("t"))
         .dropna(subset=["_doc"])
@@ -86,8 +85,6 @@ def good_documents(labels: DataFrame, label_rows: int = LABEL_ROWS) -> DataFrame
         .agg(F.min("q").alias("q"), F.max("t").alias("t"))
         .filter("q = 1 and coalesce(t, 0) = 0")
         .select("_doc")
-        .orderBy(F.xxhash64("_doc"), "_doc")
-        .limit(label_rows)
     )
 
 
@@ -103,9 +100,9 @@ def good_share(labels: DataFrame) -> float:
 
 
 def _flagged(docs: DataFrame, good: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a boolean column; ``good`` has a proven bound, so it goes to every task."""
+    """``docs`` with a boolean column; ``good`` is staged, so its size says whether it goes to every task."""
     marks = good.select("_doc", F.lit(True).alias(name)).withColumnRenamed("_doc", f"{name}_doc")
-    joined = docs.join(F.broadcast(marks), docs["doc_id"] == marks[f"{name}_doc"], "left").drop(f"{name}_doc")
+    joined = docs.join(marks, docs["doc_id"] == marks[f"{name}_doc"], "left").drop(f"{name}_doc")
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
@@ -145,16 +142,17 @@ def score(docs: DataFrame, good: DataFrame, model: tuple[np.ndarray, np.ndarray]
 
     The three new columns take names that ``docs`` does not have; they come last.
     """
-    names = fresh(docs, "log_weight", "gumbel_score", "score_order", "score_good", "score_noise", "score_text")
-    weight, noisy, order, flag, noise, text = names
+    weight, noisy, order, flag, noise, text = fresh(docs, "log_weight", "gumbel_score", "score_order", "score_good", "score_noise", "score_text")
+    extra = [] if "text" in columns else [F.col("text").alias(text)]  # texts go to Python once
     rows = _flagged(docs, good, flag).select(
         *[f"`{c}`" for c in columns],
-        F.col("text").alias(text),
         flag,
         F.xxhash64(F.lit(seed), "doc_id", "text").alias(noise),
+        *extra,
     )
     sent = docs.sparkSession.sparkContext.broadcast(model)
     n = len(columns)
+    at = n + 2 if extra else columns.index("text")
     schema = T.StructType([
         *docs.select(*[f"`{c}`" for c in columns]).schema.fields,
         T.StructField(weight, T.DoubleType()), T.StructField(noisy, T.DoubleType()), T.StructField(order, T.LongType()),
@@ -163,9 +161,9 @@ def score(docs: DataFrame, good: DataFrame, model: tuple[np.ndarray, np.ndarray]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = sent.value
         for batch in batches:
-            good_here = batch.column(n + 1).to_numpy(zero_copy_only=False).astype(np.int64)
-            w = _log_weights(batch.column(n).to_pylist(), good_here, raw, target, smoothing)
-            u = ((batch.column(n + 2).to_numpy().view(np.uint64) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+            good_here = batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64)
+            w = _log_weights(batch.column(at).to_pylist(), good_here, raw, target, smoothing)
+            u = ((batch.column(n + 1).to_numpy().view(np.uint64) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
             s = w - np.log(-np.log(u))
             new = [pa.array(w), pa.array(s), pa.array(sortable(s))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], [*batch.schema.names[:n], weight, noisy, order])
@@ -173,14 +171,14 @@ def score(docs: DataFrame, good: DataFrame, model: tuple[np.ndarray, np.ndarray]
     return rows.mapInArrow(run, schema)
 
 
-def resample(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None, label_rows: int = LABEL_ROWS) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """The documents that the Gumbel top-k draw keeps, with their weights.
 
     Columns: those named (default all of ``docs``), then log_weight and gumbel_score. The narrow
     scores are staged once to find the k-th largest; wide rows are scored again on their way
     out, which needs no shuffle and no copy of the texts.
     """
-    good = stage_table(good_documents(labels, label_rows), "good-labels")
+    good = stage_table(good_documents(labels), "good-labels")
     model = fit(docs, good)
     scored = stage_table(score(docs, good, model, ["doc_id"]), "importance")
     k = math.ceil(scored.count() * good_share(labels))

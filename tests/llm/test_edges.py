@@ -55,6 +55,15 @@ def test_labels_with_nulls_and_conflicts(spark, odd_docs):
     assert importance.resample(odd_docs, labels).count() > 0
 
 
+def test_target_model_reads_all_good_labels(spark):
+    """No sample of the labelled documents: 20,500 good ones, each text with a word of its own."""
+    docs = spark.range(20_500).selectExpr("id as doc_id", "concat('word', id) as text")
+    labels = docs.selectExpr("doc_id", "cast(1 as int) as quality", "cast(0 as int) as toxic")
+    good = importance.good_documents(labels)
+    raw, target = importance.fit(docs, good)
+    assert good.count() == 20_500 and (raw == target).all() and raw.sum() == 2 * 20_500
+
+
 def test_row_operators_keep_every_row(spark, odd_docs, no_docs):
     import public_tokenizers
 
