@@ -39,6 +39,8 @@ BUCKETS = 1 << 16
 SMOOTHING = 100.0
 SEED = 20240611
 _CHARS = 1 << 20
+#: Good labels, one long each, that go to every task; more are joined, which shuffles the texts.
+BROADCAST_ROWS = 6_000_000
 
 
 def _buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,8 +102,10 @@ def good_share(labels: DataFrame) -> float:
 
 
 def _flagged(docs: DataFrame, good: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a boolean column; ``good`` is staged, so its size says whether it goes to every task."""
+    """``docs`` with a boolean column: whether their number is among ``good``."""
     marks = good.select("_doc", F.lit(True).alias(name)).withColumnRenamed("_doc", f"{name}_doc")
+    if good.count() <= BROADCAST_ROWS:
+        marks = F.broadcast(marks)
     joined = docs.join(marks, docs["doc_id"] == marks[f"{name}_doc"], "left").drop(f"{name}_doc")
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
