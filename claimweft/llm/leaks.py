@@ -5,9 +5,9 @@
    items, as many as its axes can tell apart. Its fit reads every passage of all documents, once for
    all blocks, together with the block's items, whose passages weigh as much as the documents' in
    all, so that the space keeps what tells them apart. Tasks return A'(A X) for a random X, all that
-   the single-pass form needs: the driver holds one matrix of fixed size for the documents and one
-   for a block. Axes are divided by the root of their singular values, so that common words don't
-   make unrelated passages alike.
+   the single-pass form needs. It is staged by blocks of words, and tasks take it from there to the
+   axes: the driver holds sums of 144 by 144 numbers and the finished half-precision space. Axes are
+   divided by the root of their singular values, so that common words don't make unrelated passages alike.
 3. Every document is indexed: overlapping windows of each width a benchmark item needs, compared
    with the items by cosine. The least cosine follows from the share of words an item needs and
    from its length in the window. Windows with too few of the rarer words of a group of items to hold a
@@ -56,7 +56,11 @@ SHORT = 8
 #: Items with fewer words are also looked up by their words, as a few say little in the latent space.
 EXACT = 16
 SEED = 11
+#: Words of a block of A'(A X), and the blocks.
 _WORDS_BLOCK = 256
+_WORD_BLOCKS = VOCABULARY // _WORDS_BLOCK
+#: Tasks that go over these blocks, which are as many for any input; each makes X and the items' part.
+_AXES_TASKS = 3
 _CHARS = 1 << 20
 #: Words of candidates compared at a time.
 _WORDS_AT_ONCE = 1 << 21
@@ -94,10 +98,9 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def inverse_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """(weight by word bucket, number of different words of each document in all), counted over all documents."""
     found = docs.select("text").mapInArrow(_frequencies, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
-    counts = dict(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True))
-    n = counts.pop(-1, 0)
-    df = np.zeros(VOCABULARY)
-    df[list(counts)] = list(counts.values())
+    word, counts = (c.to_numpy() for c in found.columns)
+    n, df = int(counts[word < 0].sum()), np.zeros(VOCABULARY)
+    df[word[word >= 0]] = counts[word >= 0]
     return np.log((1.0 + n) / (1.0 + df)).astype(np.float32), int(df.sum())
 
 
@@ -186,42 +189,38 @@ class _Moments:
 
 
 def _sum_blocks(rows: pa.Table) -> pa.Table:
-    parts = [np.frombuffer(v.as_py(), np.float32) for v in rows.column("part")]
+    total = np.zeros(_WORDS_BLOCK * SKETCH, np.float32)
+    for part in rows.column("part").drop_null():
+        total += np.frombuffer(part.as_buffer(), np.float32)
     n = sum(rows.column("n").to_pylist())
-    return pa.table({"block": rows.column("block").slice(0, 1), "n": pa.array([n], pa.int64()), "part": pa.array([np.sum(parts, axis=0).tobytes()], pa.binary())})
+    return pa.table({"block": rows.column("block").slice(0, 1), "n": pa.array([n], pa.int64()), "part": pa.array([total.tobytes()], pa.binary())})
 
 
-def _sketch() -> np.ndarray:
-    """The random matrix X; every task makes the same one from the seed."""
-    return np.random.default_rng(SEED).standard_normal((VOCABULARY, SKETCH), dtype=np.float32)
+@dataclass
+class Sums:
+    """A'(A X), staged as a row (block, n, part) for each block of words; numpy sees the whole matrix."""
 
+    rows: DataFrame
 
-def _latent_axes(y: np.ndarray) -> np.ndarray:
-    """Leading eigenvectors of A'A, from Y = A'A X in one pass (Nystrom form), half whitened.
+    def __array__(self, dtype=None, copy=None) -> np.ndarray:
+        out = np.zeros((_WORD_BLOCKS, _WORDS_BLOCK * SKETCH), np.float32)
+        for row in self.rows.toLocalIterator():
+            out[row.block] = np.frombuffer(row.part, np.float32)
+        return out.reshape(VOCABULARY, SKETCH).astype(dtype or np.float32, copy=False)
 
-    Each axis is divided by the square root of its singular value. Slices keep the double
-    precision that this takes from needing a second matrix of that size.
-    """
-    x = _sketch()
-    size = float(np.sqrt(np.einsum("ij,ij->", y, y, dtype=float)))
-    if not size:
-        return np.zeros((VOCABULARY, RANK), np.float32)
-    shift = float(np.finfo(np.float32).eps) * size
-    slices = [slice(i, i + VOCABULARY // 16) for i in range(0, VOCABULARY, VOCABULARY // 16)]
-    shifted = lambda part: y[part].astype(float) + shift * x[part]
-    core = sum(x[part].T.astype(float) @ shifted(part) for part in slices)
-    solve = np.linalg.inv(np.linalg.cholesky((core + core.T) / 2)).T
-    gram = sum((h := shifted(part) @ solve).T @ h for part in slices)
-    values, vectors = np.linalg.eigh(gram)
-    values, vectors = values[::-1][:RANK], vectors[:, ::-1][:, :RANK]
-    # columns of (shifted y) @ solve @ vectors have the square root of the value as their length
-    scale = np.where(values > 1e-6 * values[0], np.maximum(values, 1e-30) ** -0.75, 0.0)
-    return np.concatenate([(shifted(part) @ (solve @ (vectors * scale))).astype(np.float32) for part in slices])
+    def __getitem__(self, words: np.ndarray) -> np.ndarray:
+        return np.asarray(self)[words]
 
 
-def moments(texts: DataFrame, idf: np.ndarray, tasks: int) -> tuple[np.ndarray, int]:
+def _sketch() -> np.ndarray:
+    """The random matrix X; every task makes the same one from the seed."""
+    return np.random.default_rng(SEED).standard_normal((VOCABULARY, SKETCH), dtype=np.float32)
+
+
+def moments(texts: DataFrame, idf: np.ndarray, tasks: int) -> tuple[Sums, int]:
     """(A'(A X), number of passages) of all passages of ``texts`` (text), read by at most ``tasks`` tasks."""
-    sent = texts.sparkSession.sparkContext.broadcast(idf)
+    spark = texts.sparkSession
+    sent = spark.sparkContext.broadcast(idf)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = _Moments(sent.value)
@@ -238,12 +237,10 @@ def moments(texts: DataFrame, idf: np.ndarray, tasks: int) -> tuple[np.ndarray,
             )
 
     schema = "block int, n long, part binary"
-    y, n = np.zeros((VOCABULARY // _WORDS_BLOCK, _WORDS_BLOCK * SKETCH), np.float32), 0
     parts = texts.select("text").coalesce(tasks).mapInArrow(add, schema)
-    for row in parts.groupBy("block").applyInArrow(_sum_blocks, schema).toLocalIterator():
-        y[row.block] = np.frombuffer(row.part, np.float32)
-        n += row.n
-    return y.reshape(VOCABULARY, SKETCH), n
+    every = spark.range(0, _WORD_BLOCKS, numPartitions=1).selectExpr("cast(id as int) as block", "0L as n", "cast(null as binary) as part")
+    rows = stage_table(parts.union(every).groupBy("block").applyInArrow(_sum_blocks, schema), "moments")
+    return Sums(rows), rows.agg(F.sum("n")).first()[0]
 
 
 def longest_common(region: list[int], masks: dict[int, int], length: int) -> int:
@@ -449,24 +446,76 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[list[Item]]:
     yield from filter(None, map(_items, _blocks(benchmark)))
 
 
-def fit_documents(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+def fit_documents(docs: DataFrame) -> tuple[np.ndarray, Sums, int]:
     """(weight by word bucket, A'(A X) of all documents' passages, their number), the same for all blocks."""
     idf, words = inverse_frequencies(docs)
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(words / FIT_WORDS))
     return idf, *moments(docs, idf, tasks)
 
 
-def latent_space(docs: DataFrame, benchmark: DataFrame, fitted: tuple[np.ndarray, np.ndarray, int] | None = None) -> np.ndarray:
+def _word_blocks(batches: Iterator[pa.RecordBatch], idf: np.ndarray, ids: np.ndarray, lengths: np.ndarray, weight: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(block of words, its rows of X, its rows of A'(A X)) in doubles, the items' passages added with their weight."""
+    items = _Moments(idf)
+    items.add(ids, lengths)
+    own = items.result()
+    own *= np.float32(weight)
+    del items
+    x = _sketch()
+    for batch in batches:
+        for block, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            at = slice(block * _WORDS_BLOCK, (block + 1) * _WORDS_BLOCK)
+            y = np.frombuffer(part.as_buffer(), np.float32).reshape(-1, SKETCH) + own[at]
+            yield block, x[at].astype(float), y.astype(float)
+
+
+def _sum_over(y: Sums, fitting: Broadcast, term: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum of term(rows of X, rows of A'(A X)), as one row of numbers; each task sends as much."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = sum(term(x, own) for _, x, own in _word_blocks(batches, *fitting.value))
+        yield pa.RecordBatch.from_arrays([pa.array([np.asarray(total, float).tobytes()], pa.binary())], ["total"])
+
+    found = [np.frombuffer(r.total) for r in y.rows.select("block", "part").coalesce(_AXES_TASKS).mapInArrow(run, "total binary").collect()]
+    return sum(t for t in found if len(t) > 1)  # a task without rows has nothing but a zero
+
+
+def latent_space(docs: DataFrame, benchmark: DataFrame, fitted: tuple[np.ndarray, Sums, int] | None = None) -> np.ndarray:
     """(VOCABULARY, RANK) weights that take word counts to latent coordinates, for a block of items.
 
-    Half precision, and scaled as a whole, which no cosine sees: it goes to every task.
+    These are the leading eigenvectors of A'A, from Y = A'A X in one pass (Nystrom form), half whitened:
+    each axis is divided by the square root of its singular value. Tasks go over the blocks of words,
+    in doubles. Half precision, and scaled as a whole, which no cosine sees: it goes to every task.
     """
     idf, y, n = fitted or fit_documents(docs)
-    own, wanted = moments(benchmark, idf, docs.sparkSession.sparkContext.defaultParallelism)
-    own *= max(1.0, n / max(1, wanted))
-    own += y
-    space = idf[:, None] * _latent_axes(own)
-    return (space * (100.0 / max(float(np.abs(space).max()), 1e-30))).astype(np.float16)
+    words, at = grams.tokens([r.text for r in benchmark.select("text").collect()])
+    lengths = _passage_lengths(at)
+    fitting = docs.sparkSession.sparkContext.broadcast((idf, _ids(words), lengths, max(1.0, n / max(1, len(lengths)))))
+    xy, xx, yy = _sum_over(y, fitting, lambda x, own: np.stack([x.T @ own, x.T @ x, own.T @ own])).reshape(3, SKETCH, SKETCH)
+    size = math.sqrt(np.trace(yy))
+    space = np.zeros((_WORD_BLOCKS, _WORDS_BLOCK * RANK), np.float16)
+    if not size:
+        return space.reshape(VOCABULARY, RANK)
+    shift = float(np.finfo(np.float32).eps) * size
+    core = xy + shift * xx
+    solve = np.linalg.inv(np.linalg.cholesky((core + core.T) / 2)).T
+    gram = _sum_over(y, fitting, lambda x, own: (h := (own + shift * x) @ solve).T @ h).reshape(SKETCH, SKETCH)
+    values, vectors = np.linalg.eigh(gram)
+    values, vectors = values[::-1][:RANK], vectors[:, ::-1][:, :RANK]
+    # columns of (y + shift x) @ solve @ vectors have the square root of the value as their length
+    scale = np.where(values > 1e-6 * values[0], np.maximum(values, 1e-30) ** -0.75, 0.0)
+    # so no weight is above the root of all columns' squares times the largest idf, which becomes 10,000
+    scale *= 1e4 / max(float(idf.max()) * math.sqrt(float((scale**2 * np.maximum(values, 0)).sum())), 1e-30)
+    turn = solve @ (vectors * scale)
+
+    def axes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf = fitting.value[0].reshape(_WORD_BLOCKS, _WORDS_BLOCK, 1)
+        for block, x, own in _word_blocks(batches, *fitting.value):
+            part = (idf[block] * ((own + shift * x) @ turn)).astype(np.float16)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "part"])
+
+    for row in y.rows.select("block", "part").coalesce(_AXES_TASKS).mapInArrow(axes, "block int, part binary").toLocalIterator():
+        space[row.block] = np.frombuffer(row.part, np.float16)
+    return space.reshape(VOCABULARY, RANK)
 
 
 def _passes(docs: DataFrame, benchmark: DataFrame) -> Iterator[list[Broadcast]]:

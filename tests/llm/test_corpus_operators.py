@@ -199,6 +199,35 @@ def test_space_is_fitted_on_all_documents(spark, monkeypatch):
     assert leaks.latent_space(docs, docs.limit(5), fitted).shape == (leaks.VOCABULARY, leaks.RANK)
 
 
+def test_driver_holds_the_space_and_no_matrix_of_its_fit(spark, sf_dir):
+    """Python's peak in the driver, and the space against one made in one process from the whole matrix."""
+    docs, bench = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "benchmark"))
+    tracemalloc.start()
+    space = leaks.latent_space(docs, bench)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert space.dtype == np.float16 and space.shape == (leaks.VOCABULARY, leaks.RANK) and np.abs(space).max() <= 10_000
+    assert peak < 2 * space.nbytes
+    idf, y, n = leaks.fit_documents(docs)
+    words, at = grams.tokens([r.text for r in bench.collect()])
+    items = leaks._Moments(idf)
+    items.add(leaks._ids(words), leaks._passage_lengths(at))
+    y, x = np.asarray(y).astype(float) + max(1.0, n / items.n) * items.result(), leaks._sketch().astype(float)
+    y += np.finfo(np.float32).eps * np.linalg.norm(y) * x
+    core = x.T @ y
+    axes, lengths, _ = np.linalg.svd(y @ np.linalg.inv(np.linalg.cholesky((core + core.T) / 2)).T, full_matrices=False)
+    keep = lengths[: leaks.RANK] ** 2 > 1e-6 * lengths[0] ** 2
+    want = idf[:, None] * (axes[:, : leaks.RANK] * np.where(keep, lengths[: leaks.RANK] ** -0.5, 0))
+    words, at = grams.tokens([r.text for r in docs.limit(60).collect()])
+    ids, at = leaks._ids(words), np.unique(at[:-1])
+    cosines = []
+    for s in (space.astype(float), want):
+        v = np.add.reduceat(s[ids], at, axis=0)
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        cosines.append(v @ v.T)
+    assert np.abs(cosines[0] - cosines[1]).max() < 1e-3
+
+
 def test_frequencies_of_more_texts_than_buckets():
     """Sums of one piece of 70,000 short texts, in half the room that 64-bit cells take."""
     texts = pa.array([f"a{i % 7} a{i % 7} b" if i % 3 else None for i in range(leaks.VOCABULARY + 4464)])
