@@ -3,26 +3,33 @@
 Spark ML keeps a bin of every value of the widest column in each task and sends them as dense arrays. Here
 each level is one grouping of the rows, so only values that a node has are counted, and columns may have any
 number of values. Every value is a place to split: a numeric feature's in their order, a nominal one's in the
-order of their share of hits, which holds the best set for two classes. Running counts go over ranges of values
-and inside a range, so no task orders a column. The driver sees one row a node; the values that
+order of their share of hits, which holds the best set for two classes. Numeric values are counted by bin first;
+single values are only looked at in bins that may hold a better split than the best one found, so not all of
+them go through a shuffle. Running counts go over ranges of places and inside a range or bin, so no task orders a
+column. The driver sees one row a node; the values that
 a nominal split sends left stay a table, which is saved with the model and joined where a column has many.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Model
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.param.shared import HasInputCols, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimweft.session import stage_table
+from claimweft.session import drop_staged, in_passes, stage_table
 
 #: Most values of a nominal feature whose left sets are listed in the projection instead of joined.
 SMALL = 1024
+#: Bins of a numeric feature, and rows whose single values are looked at in one go, if not half of all.
+BINS, LOOK_ROWS = 1024, 1_000_000
 #: Gains up to this are rounding.
 _LEAST = 1e-12
 
@@ -140,50 +147,164 @@ def _entropy(n: Column, hits: Column) -> Column:
     return part(hits) + part(n - hits)
 
 
-def _best_splits(counts: DataFrame, sizes: Sequence[int]) -> tuple[DataFrame, DataFrame]:
-    """(ranged counts, best split of each node with the rows and hits that go left)."""
+def _gain(n: Column, hits: Column, ln: Column, lh: Column) -> Column:
+    return (_entropy(n, hits) - _entropy(ln, lh) - _entropy(n - ln, hits - lh)) / n
+
+
+def _best(splits: DataFrame) -> DataFrame:
+    """The best split of each node: the first feature and the fewest rows to the left on ties."""
+    known = splits.filter(F.col("ln") < F.col("all_n")).withColumn("gain", _gain(*[F.col(c) for c in ("all_n", "all_hits", "ln", "lh")]))
+    split = F.struct("feature", "place", "high", "ln", "lh", "gain")
+    return known.groupBy("node").agg(F.max_by(split, F.struct("gain", -F.col("feature"), -F.col("ln"))).alias("s")).select("node", "s.*")
+
+
+def _steps(counts: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """Rows and hits up to each place of a feature in a node, staged: bins of a numeric feature, shares of hits of a nominal one.
+
+    Gain is convex along values of the same share, so the best split is not inside them.
+    """
     nominal = [i for i, n in enumerate(sizes) if n]
-    place = F.when(F.col("feature").isin(nominal), F.col("hits") / F.col("n")).otherwise(F.col("value")) if nominal else F.col("value")
-    order = ["node", "feature", "place", "value"]
-    ranged = counts.withColumn("place", place).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    ranged = stage_table(ranged, "tree-values")
+    place = F.when(F.col("feature").isin(nominal), F.col("hits") / F.col("n")).otherwise(F.col("key")) if nominal else F.col("key")
     groups = ["node", "feature"]
+    places = counts.groupBy(*groups, place.alias("place")).agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.min("low").alias("low"), F.max("high").alias("high"))
+    ranged = stage_table(places.repartitionByRange(*groups, "place").withColumn("_range", F.spark_partition_id()), "tree-places", tidy=True)
     before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sums = ranged.groupBy(*groups, "_range").agg(F.sum("n").alias("sn"), F.sum("hits").alias("sh"))
     upto = [F.coalesce(F.sum(s).over(before), F.lit(0)).alias(o) for s, o in (("sn", "on"), ("sh", "oh"))]
     whole = Window.partitionBy(*groups)
     offsets = sums.select(*groups, "_range", *upto, F.sum("sn").over(whole).alias("all_n"), F.sum("sh").over(whole).alias("all_hits"))
-    inside = Window.partitionBy(*groups, "_range").orderBy("place", "value").rowsBetween(Window.unboundedPreceding, 0)
-    running = ranged.select(*order, "_range", F.sum("n").over(inside).alias("cn"), F.sum("hits").over(inside).alias("ch")).join(offsets, [*groups, "_range"])
-    running = running.select(*order, "all_n", "all_hits", (F.col("cn") + F.col("on")).alias("ln"), (F.col("ch") + F.col("oh")).alias("lh"))
-    n, hits, ln, lh = (F.col(c) for c in ("all_n", "all_hits", "ln", "lh"))
-    gain = (_entropy(n, hits) - _entropy(ln, lh) - _entropy(n - ln, hits - lh)) / n
-    split = F.struct("feature", "place", "value", "ln", "lh", "gain")
-    best = running.filter(ln < n).withColumn("gain", gain).groupBy("node").agg(F.max_by(split, F.struct("gain", -F.col("feature"), -ln)).alias("s"))
-    return ranged, best.select("node", "s.*")
+    inside = Window.partitionBy(*groups, "_range").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    running = ranged.select("*", F.sum("n").over(inside).alias("cn"), F.sum("hits").over(inside).alias("ch")).join(offsets, [*groups, "_range"])
+    ends = [(F.col("cn") + F.col("on")).alias("ln"), (F.col("ch") + F.col("oh")).alias("lh")]
+    out = stage_table(running.select(*groups, "place", "n", "hits", "low", "high", "all_n", "all_hits", *ends), "tree-steps", tidy=True)
+    drop_staged(ranged)
+    return out
+
+
+def _open_bins(steps: DataFrame, numeric: Sequence[int], best: dict[int, Row], limit: int) -> DataFrame:
+    """Bins of several values that may hold a better split than the best so far, dealt to chunks of about ``limit`` rows.
+
+    Up to any value of a bin, its rows and hits lie between none and all; gain is convex, so it is at most the one at
+    a corner: hits first, the others first, none or all.
+    """
+    n, hits, all_n, all_hits = (F.col(c) for c in ("n", "hits", "all_n", "all_hits"))
+    ln, lh = F.col("ln") - n, F.col("lh") - hits
+    corners = [(ln, lh), (F.col("ln"), F.col("lh")), (ln + hits, lh + hits), (ln + n - hits, lh)]
+    bound = F.greatest(*[_gain(all_n, all_hits, x, y) for x, y in corners])
+    wide = steps.filter(F.col("feature").isin(*numeric) & (F.col("low") < F.col("high")))
+    wide = wide.select("node", "feature", F.col("place").alias("key"), "n", "all_n", "all_hits", ln.alias("ln0"), lh.alias("lh0"), bound.alias("bound"))
+    order = Window.orderBy(F.col("bound").desc(), "node", "feature", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # at most BINS rows a node and feature
+    dealt = wide.filter(_may_gain(best)).withColumn("chunk", F.floor((F.sum("n").over(order) - F.col("n")) / limit))
+    return stage_table(dealt, "tree-open", tidy=True)
+
+
+def _may_gain(best: dict[int, Row]) -> Column:
+    known = F.create_map(*[F.lit(x) for k, b in best.items() for x in (k, float(b.gain))]) if best else F.create_map().cast("map<int,double>")
+    return F.col("bound") > F.greatest(F.coalesce(F.try_element_at(known, F.col("node")), F.lit(0.0)) - _LEAST, F.lit(_LEAST))
+
+
+def _counted(parts: Sequence[DataFrame], cells: Column, keys: Sequence[str], ends: Sequence[tuple[str, str]] = (), bins: DataFrame | None = None) -> DataFrame:
+    """Rows and hits by ``keys`` of the routed rows' cells, staged: one part of the rows after the other, then in all.
+
+    ``ends`` are (name, function) of the cells' values; with ``bins`` only cells of those count.
+    """
+
+    def counts(rows: DataFrame, n: Column, hits: Column, at: str = "{}") -> DataFrame:
+        more = [F.expr(f"{function}({at.format(name)})").alias(name) for name, function in ends]
+        return rows.groupBy(*keys).agg(n.alias("n"), hits.alias("hits"), *more)
+
+    staged = []
+    for part in parts:
+        long = part.select(F.col("_node").alias("node"), "hit", F.explode(cells).alias("c")).select("node", "hit", "c.*")
+        long = long if bins is None else long.join(F.broadcast(bins), ["node", "feature", "key"])
+        staged.append(stage_table(counts(long, F.count("*"), F.sum("hit"), "value"), "tree-values", tidy=True))
+    if len(staged) == 1:
+        return staged[0]
+    out = stage_table(counts(reduce(DataFrame.unionAll, staged), F.sum("n"), F.sum("hits")), "tree-values", tidy=True)
+    for part in staged:
+        drop_staged(part)
+    return out
+
+
+def _within(counts: DataFrame) -> DataFrame:
+    """Rows and hits up to each value of its bin; a task orders a bin at a time."""
+    inside = Window.partitionBy("node", "feature", "key").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ends = [(F.col("ln0") + F.sum("n").over(inside)).alias("ln"), (F.col("lh0") + F.sum("hits").over(inside)).alias("lh")]
+    return counts.select("node", "feature", F.col("key").alias("place"), F.col("value").alias("high"), "all_n", "all_hits", *ends)
+
+
+def _collected(splits: DataFrame) -> list[Row]:
+    """One row a node; the shuffle files behind it go at once."""
+    staged = stage_table(splits, "tree-best", tidy=True)
+    rows = staged.collect()
+    drop_staged(staged)
+    return rows
+
+
+def _better(best: dict[int, Row], found: Sequence[Row]) -> dict[int, Row]:
+    out = dict(best)
+    for b in found:
+        if b.node not in out or (b.gain, -b.feature, -b.ln) > (out[b.node].gain, -out[b.node].feature, -out[b.node].ln):
+            out[b.node] = b
+    return out
+
+
+def _in_bins(rows: DataFrame, inputs: Sequence[str], numeric: Sequence[int]) -> DataFrame:
+    """``rows`` with the bin of each numeric feature. Bins are cut at approximate quantiles: they only tell where to look closer."""
+    if not numeric:
+        return rows
+    probs = [i / BINS for i in range(1, BINS)]
+    found = rows.agg(*[F.percentile_approx(F.col(inputs[i]), probs, 10 * BINS).alias(f"q{i}") for i in numeric]).first()
+    edges = {i: sorted({e for e in found[f"q{i}"] or [] if math.isfinite(e)}) or [0.0] for i in numeric}
+    splits = [[-math.inf, *edges[i], math.inf] for i in numeric]
+    return Bucketizer(splitsArray=splits, inputCols=[inputs[i] for i in numeric], outputCols=[f"_bin_{i}" for i in numeric]).transform(rows)
 
 
 def grow(rows: DataFrame, inputs: Sequence[str], sizes: Sequence[int], label: str, depth: int) -> ValueTreeModel:
     """A tree over double columns without NULL; ``sizes`` tells each nominal feature's values, 0 for numeric ones.
 
-    A node is split while some split gains. ``rows`` are read once a level.
+    A node is split while some split gains. ``rows`` are read once a level, and once more for every chunk of bins that may
+    hold the best split.
     """
     spark = rows.sparkSession
     hit = (F.col(label) == 1).cast("long")
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(hit), F.lit(0)).alias("hits")).first()
     tree: dict[int, dict] = {1: {"n": total.n, "hits": total.hits}}
     left = spark.createDataFrame([], "node int, value double")
-    cells = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(c).alias("value")) for i, c in enumerate(inputs)])
+    numeric = [i for i, n in enumerate(sizes) if not n]
+    limit = max(LOOK_ROWS, total.n // 2)
+    binned = _in_bins(rows, inputs, numeric)
+    cell = lambda i, key: F.struct(F.lit(i).alias("feature"), F.col(key).alias("key"), F.col(inputs[i]).alias("value"))
+    closer = F.array(*[cell(i, f"_bin_{i}") for i in numeric])
+    cells = F.array(*[cell(i, f"_bin_{i}" if i in numeric else c) for i, c in enumerate(inputs)])
     for level in range(depth):
         still = [k for k, v in tree.items() if k >> level == 1 and 0 < v["hits"] < v["n"]]
         if not still:
             break
-        here = route(rows, tree, left, inputs, sizes).filter(F.col("_node").isin(still))
-        long = here.select(F.col("_node").alias("node"), hit.alias("hit"), F.explode(cells).alias("c")).select("node", "hit", "c.*")
-        counts = long.groupBy("node", "feature", "value").agg(F.count("*").alias("n"), F.sum("hit").alias("hits"))
-        ranged, best = _best_splits(counts, sizes)
+        def routed(some: DataFrame, still: list[int] = still, left: DataFrame = left) -> list[DataFrame]:
+            here = [route(p, tree, left, inputs, sizes) for p in in_passes(some, inputs, total.n)]
+            return [p.filter(F.col("_node").isin(still)).withColumn("hit", hit) for p in here]
+
+        counts = _counted(routed(binned), cells, ["node", "feature", "key"], [("low", "min"), ("high", "max")])
+        steps = _steps(counts, sizes)
+        best = _better({}, _collected(_best(steps)))
+        if numeric:
+            bins = _open_bins(steps, numeric, best, limit)
+            for chunk in range((bins.agg(F.max("chunk")).first()[0] or 0) + 1):
+                hopeful = bins.filter((F.col("chunk") == chunk) & _may_gain(best)).select("node", "feature", "key", "all_n", "all_hits", "ln0", "lh0")
+                listed: dict[int, list[float]] = {}
+                for r in hopeful.select("feature", "key").distinct().collect():  # at most BINS a feature
+                    listed.setdefault(r.feature, []).append(r.key)
+                if listed:
+                    some = binned.filter(reduce(Column.__or__, [F.col(f"_bin_{i}").isin(keys) for i, keys in listed.items()]))
+                    values = _counted(routed(some), closer, [*hopeful.columns, "value"], bins=hopeful)
+                    best = _better(best, _collected(_best(_within(values))))
+                    drop_staged(values)
+            drop_staged(bins)
+        drop_staged(steps)
         sets = []
-        for b in best.collect():  # one row a node
+        for b in best.values():
             if b.gain <= _LEAST:
                 continue
             own = tree[b.node]
@@ -191,14 +312,15 @@ def grow(rows: DataFrame, inputs: Sequence[str], sizes: Sequence[int], label: st
             tree[2 * b.node] = {"n": b.ln, "hits": b.lh}
             tree[2 * b.node + 1] = {"n": own["n"] - b.ln, "hits": own["hits"] - b.lh}
             if sizes[b.feature]:
-                upto = F.struct(F.col("place"), F.col("value")) <= F.struct(F.lit(b.place), F.lit(b.value))
-                sets.append((F.col("node") == b.node) & (F.col("feature") == b.feature) & upto)
+                sets.append((F.col("node") == b.node) & (F.col("feature") == b.feature) & (F.col("hits") / F.col("n") <= F.lit(b.place)))
             else:
-                own["threshold"] = b.value
+                own["threshold"] = b.high
         if sets:
             chosen = sets[0]
             for s in sets[1:]:
                 chosen = chosen | s
-            left = stage_table(left.unionByName(ranged.filter(chosen).select("node", "value")), "tree-sets")
+            before, left = left, stage_table(left.unionByName(counts.filter(chosen).select("node", F.col("key").alias("value"))), "tree-sets", tidy=True)
+            drop_staged(before)
+        drop_staged(counts)
     model = ValueTreeModel(left)
     return model._set(inputCols=list(inputs), nodes=json.dumps(tree), sizes=list(sizes), maxBins=max([32, *(n + 1 for n in sizes if n)]))

@@ -1,5 +1,6 @@
 """Composed jobs and models end to end on small data."""
 
+import os
 import random
 
 import pytest
@@ -11,7 +12,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from claimweft.models import factors, scoring, training
+from claimweft import session
+from claimweft.models import factors, scoring, training, valuetree
 from claimweft.operators import metrics
 from claimweft.plans import income_model, monthly_reports, payment_model
 from claimweft.plans.adapters import LEDGER_AMOUNTS, claims, ledger, model_claims
@@ -114,6 +116,35 @@ def test_tree_tries_every_value(spark):
     assert tree[1]["gain"] == pytest.approx(max(gains) / len(ys), abs=1e-12) and len(tree) == 3
 
 
+def test_tree_shuffles_single_values_only_where_they_may_matter(spark, monkeypatch):
+    """20,000 distinct numbers beside a telling category: single numbers are not counted; files in between are gone."""
+    rows = spark.range(20_000).selectExpr("id", "cast(id * 7919 % 20000 as double) as x", "cast(id % 200 as string) as c", "cast(id % 200 < 90 as int) as target")
+    staged, keep = [], valuetree.stage_table
+
+    def seen(df, label, *args, **kw):
+        out = keep(df, label, *args, **kw)
+        staged.append((label, out.count(), out.inputFiles()[0].removeprefix("file://")))
+        return out
+
+    monkeypatch.setattr(valuetree, "stage_table", seen)
+    model = training.fit_tree(rows, ["x"], ["c"])
+    assert training.label_leaves(model, rows, ["target"]).filter("abs(prob_paid - target) > 1e-9").count() == 0
+    assert max(n for _, n, _ in staged) <= valuetree.BINS + 201
+    assert {label for label, _, path in staged if os.path.exists(path)} == {"tree-sets"}
+
+
+def test_tree_in_passes_and_chunks_is_the_same(spark, monkeypatch):
+    rows = spark.range(6000).selectExpr("id", "cast(hash(id) % 2500 as double) as x", "cast(hash(id, 1) % 4 as string) as c", "cast(pmod(hash(id, 2), 3) = 0 as int) as target")
+    whole = training.fit_tree(rows, ["x"], ["c"], depth=2).stages[-1].tree()
+    monkeypatch.setattr(session, "PASS_ROWS", 3000)
+    monkeypatch.setattr(valuetree, "LOOK_ROWS", 100)
+    parts = training.fit_tree(rows, ["x"], ["c"], depth=2)
+    assert parts.stages[-1].tree() == whole and len(whole) > 3
+    assert training.label_leaves(parts, rows, ["id"]).count() == 6000
+    assert len(session.in_passes(rows, ["id"], 6000)) == 2
+    assert session.stage_in_passes(rows, "in-passes", ["id"], 6000).exceptAll(rows).count() == 0 == rows.count() - 6000
+
+
 def test_factor_table(spark):
     raw = spark.createDataFrame(
         [(1, "Y", "C1", "S", "N1", None, "02139-1", "MA", 5.0, 10.0, "PAID", "EN"),
